@@ -51,7 +51,7 @@ def out_of_order(received: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFra
         "partition_id",
         "sequence_id",
         "arrival_index",
-        F.floor(F.col("arrival_index") / bucket_rows).alias("_bucket"),
+        (F.col("arrival_index") - F.pmod("arrival_index", F.lit(bucket_rows))).alias("_bucket"),
     )
     inside = Window.partitionBy("partition_id", "_bucket").orderBy("arrival_index")
     steps = rows.withColumn("_before", F.lag("sequence_id").over(inside))

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,8 @@ from millrace.operators.sizes import dataset_files
 from millrace.session import pin
 
 COMMIT = "commit"
+# Up to this many rows an upsert simply shuffles the table.
+SHUFFLE_ROWS = 5_000_000
 LEDGER = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -65,6 +67,7 @@ class Snapshot:
     partition_by: list[str]
     unique_key: list[str]
     commits: list[int]
+    rows: int
     hidden: list[tuple[int, list[str | None]]] = field(default_factory=list)
 
 
@@ -100,6 +103,7 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
         partition_by=last["partition_by"],
         unique_key=last["unique_key"],
         commits=[line["version"] for line in lines if line["operation"] != "drop"],
+        rows=sum(line["rows"] for line in lines),
         hidden=[(line["version"], line["hidden"]) for line in lines if line["hidden"]],
     )
 
@@ -166,9 +170,11 @@ def _commit(
         if partition_by and rebalance:
             # One shuffle so that a partition value ends in few files; AQE splits a hot value.
             rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+        # Counted in the writing stage itself, where each finished task counts once.
+        counted = Observation()
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
-        # Counted from what is stored: a running count may count a repeated task twice.
-        written = spark.read.schema(schema).parquet(folder).count()
+        written = counted.get.get("rows", 0)
     line = {
         "version": version,
         "operation": operation,
@@ -247,6 +253,7 @@ def upsert(
     key: Sequence[str] = ("message_id",),
     order: Sequence[str] = WRITE_ORDER,
     broadcast_limit: int = BROADCAST_BYTES,
+    shuffle_rows: int = SHUFFLE_ROWS,
     writer: str | None = None,
     batch_id: int | None = None,
 ) -> int:
@@ -255,9 +262,12 @@ def upsert(
     Greatest ``order`` wins, nulls lose, and on a full tie the batch wins, so repeating a batch
     changes nothing. The result is a new commit beside its input, never over it.
 
-    If the table is known to hold each key once and the batch's keys are measured to fit a
-    broadcast, the table is not shuffled: its rows are filtered against the batch where they lie.
-    Otherwise table and batch are shuffled once by key.
+    If the table has more than ``shuffle_rows`` rows, is known to hold each key once, and the
+    batch's keys are measured to fit a broadcast, the table is not shuffled: its rows are filtered
+    against the batch where they lie. Otherwise table and batch are shuffled once by key.
+
+    Either way the whole table is written anew. For small batches in quick succession append to a
+    bronze table and deduplicate on reading instead.
     """
     spark = df.sparkSession
     key, order = list(key), list(order)
@@ -272,7 +282,8 @@ def upsert(
         batch = keep_last(fit_to(df, schema), key, order)
         table = _read(spark, path, found)
         narrow = list(dict.fromkeys(key + order))
-        if found.unique_key == key and measured_bytes(batch.select(narrow)) <= broadcast_limit:
+        in_place = found.unique_key == key and found.rows > shuffle_rows
+        if in_place and measured_bytes(batch.select(narrow)) <= broadcast_limit:
             merged = _merge_small_batch(table, pin(batch), key, order)
         else:
             merged = _merge_by_shuffle(table, batch, key, order)

@@ -377,7 +377,7 @@ def upsert_latest_event(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event per user, from a table of the first half month and a batch of the second."""
     events = _table(spark, sf, "events")
     path = scratch_path(spark, "upsert")
-    middle = F.lit(datetime.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     for half in (F.col("ts") < middle, F.col("ts") >= middle):
         table.upsert(events.filter(half), path, ["user_id"], ["ts", "event_id"])
     return table.read_table(spark, path).select("user_id", "event_id", "event_type", "value")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from millrace.functions.values import pick, pick_from
 # Fixed values of the sales table.
 REGIONS = ("US-EAST", "US-WEST", "EU", "APAC")
 SEGMENTS = ("BASIC", "PREMIUM", "ENTERPRISE")
-FIRST_DAY = datetime.datetime(2024, 1, 1)
+FIRST_DAY = "2024-01-01 00:00:00"
 SPAN_SECONDS = 31_536_000
 SEED = 42
 
