@@ -40,20 +40,20 @@ def with_arrival(df: DataFrame) -> DataFrame:
 
     Arrival order is file time, file name, and place in the file: parallel tasks share no counter.
     It sorts rows; :func:`with_arrival_index` turns it into numbers from 1 where a batch needs them.
+    A stream knows only the file of a row; stamp inside ``foreachBatch`` to tell its rows apart.
     """
-    # The lower 33 bits count the rows within one task; a file block lies in one task.
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     meta = F.col("_metadata")
-    return df.select(
-        "*",
-        F.unix_micros(F.current_timestamp()).cast("double").__truediv__(F.lit(1e6)).alias("arrival_ts"),
-        F.struct(
-            meta["file_modification_time"].alias("file_time"),
-            meta["file_path"].alias("file"),
-            meta["file_block_start"].alias("block"),
-            place.alias("place"),
-        ).alias("arrival_order"),
-    )
+    order = [
+        meta["file_modification_time"].alias("file_time"),
+        meta["file_path"].alias("file"),
+        meta["file_block_start"].alias("block"),
+    ]
+    if not df.isStreaming:
+        # The lower 33 bits count the rows within one task; a file block lies in one task.
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        order.append(place.alias("place"))
+    now = F.unix_micros(F.current_timestamp()).cast("double") / F.lit(1e6)
+    return df.select("*", now.alias("arrival_ts"), F.struct(*order).alias("arrival_order"))
 
 
 def with_arrival_index(df: DataFrame, order: Sequence[str] = ("arrival_order",)) -> DataFrame:
