@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.bounds import broadcast_if_small
+from millrace.operators.relational import sort_keys
 from millrace.session import scratch_path
 
 # Up to this many rows a plain top-n is cheaper than numbering all rows.
@@ -24,7 +25,8 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     """
     spark = df.sparkSession
     path = scratch_path(spark, "row-index")
-    df.orderBy(*order).write.parquet(path)
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    df.orderBy(*sort_keys(df, *columns)).write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     placed = stored.select(
         "*",

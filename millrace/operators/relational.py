@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import SchemaMismatch, schema_problems
@@ -63,13 +63,18 @@ def distinct_count(df: DataFrame, column: str, name: str = "distinct_values") ->
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias(name))
 
 
-def ordered(df: DataFrame, column: str, *tie_breakers: str) -> DataFrame:
-    """Ascending order, nulls first.
+def sort_keys(df: DataFrame, *columns: Column) -> list[Column]:
+    """Sort columns, then a hash of the whole row.
 
-    Rows with equal sort values all go to one task, so name tie breakers if one value is frequent:
-    the range partitioning then cuts inside it.
+    Rows that tie on every sort column go to one task of a range partitioning; the hash lets it cut
+    inside a frequent value, and makes the order of ties repeatable.
     """
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in (column, *tie_breakers)])
+    return [*columns, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+
+
+def ordered(df: DataFrame, column: str, *tie_breakers: str) -> DataFrame:
+    """Ascending order, nulls first."""
+    return df.orderBy(*sort_keys(df, *[F.col(c).asc_nulls_first() for c in (column, *tie_breakers)]))
 
 
 def concat_rows(*frames: DataFrame) -> DataFrame:
@@ -90,12 +95,14 @@ def concat_evolving(*frames: DataFrame) -> DataFrame:
 def set_difference(left: DataFrame, right: DataFrame, on: str, right_on: str | None = None) -> DataFrame:
     """Different values of ``left.on`` that ``right`` lacks; null equals null.
 
-    Both sides are made distinct first, map-side: a value repeated a billion times reaches the join
-    once.
+    One grouping over both sides instead of an anti join: a value repeated a billion times on either
+    side is combined to one row per task before the shuffle. (An optimizer moves a join below
+    ``distinct``, and would send all copies of a left value to one task.)
     """
-    wanted = left.select(F.col(on)).distinct()
-    present = right.select(F.col(right_on or on).alias("_present")).distinct()
-    return wanted.join(present, wanted[on].eqNullSafe(present["_present"]), "left_anti")
+    sides = left.select(F.col(on), F.lit(False).alias("_right")).union(
+        right.select(F.col(right_on or on), F.lit(True).alias("_right"))
+    )
+    return sides.groupBy(on).agg(F.max("_right").alias("_found")).filter(~F.col("_found")).select(on)
 
 
 def top_rows_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, n: int) -> DataFrame:
@@ -104,7 +111,5 @@ def top_rows_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, n: int
     Spark limits each group before the shuffle as well (``WindowGroupLimit``), so a hot key sends
     at most ``n`` rows per task.
     """
-    from pyspark.sql import Window
-
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("position", F.row_number().over(window)).filter(F.col("position") <= n)

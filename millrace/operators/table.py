@@ -76,14 +76,20 @@ def history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).option("recursiveFileLookup", True).json(f"{path}/ledger")
 
 
-def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
-    """The given or latest version; ``None`` if the table does not exist."""
+def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        ledger = history(spark, path)
+        return history(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+
+
+def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
+    """The given or latest version; ``None`` if the table does not exist."""
+    ledger = _ledger(spark, path)
+    if ledger is None:
+        return None
     if version is not None:
         ledger = ledger.filter(F.col("version") <= version)
     # Only the lines since the last full rewrite matter.
@@ -140,9 +146,8 @@ def _read(spark: SparkSession, path: str, found: Snapshot) -> DataFrame:
 
 
 def already_committed(spark: SparkSession, path: str, writer: str, batch_id: int) -> bool:
-    try:
-        ledger = history(spark, path)
-    except AnalysisException:
+    ledger = _ledger(spark, path)
+    if ledger is None:
         return False
     done = ledger.filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
     return not done.isEmpty()

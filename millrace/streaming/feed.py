@@ -23,6 +23,8 @@ from millrace.schemas import MESSAGE
 from millrace.session import pin
 
 EVENT_TIME = "event_time"
+SALT = "_salt"
+SALTS = 8
 
 
 def read_message_stream(
@@ -67,24 +69,41 @@ def with_event_time(stream: DataFrame) -> DataFrame:
     return stream.withColumn(EVENT_TIME, epoch_time(F.col("created_at")))
 
 
-def drop_seen(stream: DataFrame, keys: Sequence[str] = KEY_FIELDS) -> DataFrame:
-    """Drop each key seen before, ever. Exact; the state grows with the number of keys."""
-    return stream.dropDuplicates(list(keys)).withColumn("composite_hash", composite_key(keys))
+def _with_salt(stream: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
+    rest = [F.col(f"`{c}`") for c in stream.columns if c not in keys]
+    return stream.withColumn(SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.lit(0))
+
+
+def drop_seen(stream: DataFrame, keys: Sequence[str] = KEY_FIELDS, salts: int = SALTS) -> DataFrame:
+    """Drop each key seen before, ever. Exact; the state grows with the number of keys.
+
+    A stream cannot thin a key before its shuffle, so a hot key would meet in one task. Rows are
+    therefore deduplicated in two steps, by key and a salt from the rest of the row, then by key: at
+    most ``salts`` rows of a key ever reach the second step. ``salts=1`` saves the first step where
+    no key is hot.
+    """
+    keys = list(keys)
+    if salts > 1:
+        stream = _with_salt(stream, keys, salts).dropDuplicates([*keys, SALT]).drop(SALT)
+    return stream.dropDuplicates(keys).withColumn("composite_hash", composite_key(keys))
 
 
 def drop_seen_within(
-    stream: DataFrame, delay: str, keys: Sequence[str] = KEY_FIELDS
+    stream: DataFrame, delay: str, keys: Sequence[str] = KEY_FIELDS, salts: int = SALTS
 ) -> DataFrame:
-    """Drop each key seen before, with state bounded by a watermark.
+    """Drop each key seen before, with state bounded by a watermark; salted like :func:`drop_seen`.
 
     ``delay`` must exceed the longest delivery delay: a row older than the watermark is dropped even
     if its key is new, and a key that returns with a newer event time after its state has expired
-    passes again. :func:`late_rows` counts what was dropped so.
+    may pass again. :func:`late_rows` counts what was dropped so.
     """
+    keys = list(keys)
+    timed = with_event_time(stream).withWatermark(EVENT_TIME, delay)
+    if salts > 1:
+        salted = _with_salt(timed, keys, salts)
+        timed = salted.dropDuplicatesWithinWatermark([*keys, SALT]).drop(SALT)
     return (
-        with_event_time(stream)
-        .withWatermark(EVENT_TIME, delay)
-        .dropDuplicatesWithinWatermark(list(keys))
+        timed.dropDuplicatesWithinWatermark(keys)
         .drop(EVENT_TIME)
         .withColumn("composite_hash", composite_key(keys))
     )

@@ -59,27 +59,43 @@ def run(spark, source, tmp_path):
     return go
 
 
-def test_exact_filter_survives_restart(source, run):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_exact_filter_survives_restart(source, run, salts):
+    def shape(stream):
+        return streams.drop_seen(stream, salts=salts)
+
     source.add(message("a", 0, 1), message("b", 0, 2))
     source.add(message("a", 0, 3), message("c", 9 * HOUR, 4))
-    _, kept = run(streams.drop_seen)
+    _, kept = run(shape)
     assert kept == [1, 2, 4]
     source.add(message("b", 20 * HOUR, 5), message("d", 0, 6), message("d", 0, 6))
-    _, kept = run(streams.drop_seen)
+    _, kept = run(shape)
     assert kept == [1, 2, 4, 6]
 
 
-def test_bounded_filter_and_its_two_limits(source, run):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_bounded_filter_and_its_two_limits(source, run, salts):
     source.add(message("a", 0 * HOUR, 1), message("a", 0 * HOUR, 1))
     source.add(message("b", 10 * HOUR, 2))
     source.add(message("c", 10 * HOUR, 3), message("b", 10 * HOUR, 4))
     source.add(message("late", 1 * HOUR, 5), message("a", 0 * HOUR, 6))  # behind the watermark
     source.add(message("a", 12 * HOUR, 7))  # returns after its state has expired
-    query, kept = run(lambda s: streams.drop_seen_within(s, "1 hour"))
+    query, kept = run(lambda s: streams.drop_seen_within(s, "1 hour", salts=salts))
     assert kept == [1, 2, 3, 7]
     assert streams.late_rows(query) == 2
 
 
+def test_hot_key_passes_the_salted_step_a_few_times(source, run):
+    source.add(*[message("hot", 0, i) for i in range(500)], message("b", 0, 900))
+    query, kept = run(streams.drop_seen)
+    assert len(kept) == 2 and 900 in kept
+    # The last stateful step of the plan saw one row per salt of the hot key.
+    first, second = sorted(
+        sum(p["stateOperators"][i]["numRowsTotal"] for p in query.recentProgress) for i in (0, 1)
+    )
+    assert first == 2 and 2 < second <= streams.SALTS + 1
+
+
 def test_first_arrivals_to_table(spark, source, tmp_path):
     table, state = str(tmp_path / "table"), str(tmp_path / "state")
     source.add(message("a", 0, 3), message("a", 0, 2), message(None, 0, 1))
