@@ -20,7 +20,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +34,7 @@ from millrace.operators.quality import (
     with_required,
 )
 from millrace.operators.sizes import dataset_files
-from millrace.session import pin
+from millrace.session import path_exists, pin
 
 COMMIT = "commit"
 # Up to this many rows an upsert simply shuffles the table.
@@ -77,12 +76,7 @@ def history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return history(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return history(spark, path) if path_exists(spark, f"{path}/ledger") else None
 
 
 def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:

@@ -77,3 +77,9 @@ def pin(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
