@@ -80,7 +80,7 @@ def line_feed(lineitem):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES")
     spark = build_session(
         "bench",
@@ -103,17 +103,19 @@ def main() -> None:
     for source, rows in feeds.items():
         path = write_parquet(rows.repartition(int(cpus)), scratch_path(spark, "bench-feed"))
         feed = spark.read.parquet(path)
-        compare_strategies(feed, scratch_path(spark, "bench-warm"))
-        measured = compare_strategies(feed, scratch_path(spark, "bench-strategies")).collect()
+        measured = [
+            {r["strategy"]: r for r in compare_strategies(feed, scratch_path(spark, "bench")).collect()}
+            for _ in range(runs + 1)
+        ]
         strategies[source] = {
-            row["strategy"]: {
-                "seconds": round(row["seconds"], 3),
+            name: {
+                "seconds": round(t := statistics.median(run[name]["seconds"] for run in measured[1:]), 3),
                 "input_rows": row["input_records"],
-                "input_rows_per_second": round(row["input_rows_per_second"]),
+                "input_rows_per_second": round(row["input_records"] / t),
                 "rows_out": row["records"],
                 "bytes": row["bytes"],
             }
-            for row in measured
+            for name, row in measured[0].items()
         }
     print(
         json.dumps(

@@ -160,13 +160,13 @@ def _commit(
     unique_key: Sequence[str] = (),
     writer: str | None = None,
     batch_id: int | None = None,
-    rebalance: bool = True,
+    gather: bool = True,
 ) -> int:
     version = 0 if found is None else found.version + 1
     written = 0
     if rows is not None:
         folder = f"{path}/data/{COMMIT}={version}"
-        if partition_by and rebalance:
+        if partition_by and gather:
             # One shuffle so that a partition value ends in few files; AQE splits a hot value.
             rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
         # Counted in the writing stage itself, where each finished task counts once.
@@ -202,6 +202,7 @@ def write_table(
     merge_schema: bool = False,
     replace_schema: bool = False,
     required: Sequence[str] = (),
+    gather: bool = True,
     writer: str | None = None,
     batch_id: int | None = None,
 ) -> int:
@@ -211,7 +212,11 @@ def write_table(
     narrower number is widened). ``merge_schema`` lets an append bring new columns, null in older
     rows, and omit nullable ones; ``replace_schema`` lets an overwrite change everything. A new table
     refuses nulls in its ``required`` columns: such a row fails the write, which then stays
-    invisible. An empty string in a partition column would be read back as null by Spark's directory layout.
+    invisible.
+
+    Rows of a partitioned table are first shuffled by partition value, so that a value ends in few
+    files; ``gather=False`` skips that where they arrive so arranged. An empty string in a partition
+    column would be read back as null by Spark's directory layout.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -243,6 +248,7 @@ def write_table(
         rewrites_all=mode == "overwrite",
         writer=writer,
         batch_id=batch_id,
+        gather=gather,
     )
 
 
@@ -368,7 +374,7 @@ def compact(spark: SparkSession, path: str, files: int | None = None) -> int:
         found.partition_by,
         rewrites_all=True,
         unique_key=found.unique_key,
-        rebalance=files is None,
+        gather=files is None,
     )
 
 

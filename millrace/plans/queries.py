@@ -446,14 +446,22 @@ _FEED_JSON = T.StructType(
 )
 
 
-def _feed_jsonl(spark: SparkSession, sf: str, parts: int | None = None) -> str:
-    """The feed as JSON Lines; with ``parts`` in files of consecutive arrivals."""
-    rows = _feed(spark, sf).select(*_FEED_JSON.names)
-    if parts:
-        rows = rows.repartitionByRange(parts, "arrival_index").sortWithinPartitions("arrival_index")
+def _feed_jsonl(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """The feed as JSON Lines files of consecutive arrivals, and their number."""
     path = scratch_path(spark, "feed-jsonl")
-    rows.write.json(path)
-    return path
+    files_written = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _feed(spark, sf).select(*_FEED_JSON.names)
+    ranged = rows.repartitionByRange(files_written, "arrival_index")
+    ranged.sortWithinPartitions("arrival_index").write.json(path)
+    return path, files_written
+
+
+def _feed_stream(spark: SparkSession, sf: str, batches: int = 1) -> DataFrame:
+    """The feed as a stream of about ``batches`` micro-batches, each read by many tasks."""
+    path, count = _feed_jsonl(spark, sf)
+    return streams.read_message_stream(
+        spark, path, _FEED_JSON, files_per_batch=max(1, count // batches)
+    )
 
 
 @registered(
@@ -462,7 +470,7 @@ def _feed_jsonl(spark: SparkSession, sf: str, parts: int | None = None) -> str:
     arrival_ts, arrival_index, event_type, value FROM feed"""
 )
 def jsonl_read(spark: SparkSession, sf: str) -> DataFrame:
-    return files.read_jsonl(spark, _feed_jsonl(spark, sf), _FEED_JSON)
+    return files.read_jsonl(spark, _feed_jsonl(spark, sf)[0], _FEED_JSON)
 
 
 @registered("SELECT count(*) AS row_count, max(CAST(ts AS DATE))::VARCHAR AS newest FROM events "
@@ -486,7 +494,7 @@ def latest_feed_file(spark: SparkSession, sf: str) -> DataFrame:
 )
 def arrival_stamping(spark: SparkSession, sf: str) -> DataFrame:
     """Gap-free arrival numbers over a feed stored as files."""
-    received = files.read_jsonl(spark, _feed_jsonl(spark, sf, parts=8), _FEED_JSON)
+    received = files.read_jsonl(spark, _feed_jsonl(spark, sf)[0], _FEED_JSON)
     numbered = positions.with_row_index(
         received.select("message_id", "arrival_index"), ["arrival_index"], "_index"
     )
@@ -801,14 +809,14 @@ def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
 @registered(_FEED + _DISTINCT_KEYS)
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The unbounded filter over a stream of feed files."""
-    stream = streams.read_message_stream(spark, _feed_jsonl(spark, sf, parts=4), _FEED_JSON)
+    stream = _feed_stream(spark, sf)
     return _drain(spark, streams.drop_seen(stream)).select("message_id", "composite_hash")
 
 
 @registered(_FEED + _DISTINCT_KEYS)
 def stream_dedup_bounded(spark: SparkSession, sf: str) -> DataFrame:
     """The filter with expiring state; its watermark exceeds every delay of the feed."""
-    stream = streams.read_message_stream(spark, _feed_jsonl(spark, sf, parts=4), _FEED_JSON)
+    stream = _feed_stream(spark, sf)
     return _drain(spark, streams.drop_seen_within(stream, "60 days")).select(
         "message_id", "composite_hash"
     )
@@ -816,10 +824,18 @@ def stream_dedup_bounded(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered(_FEED + _FIRST)
 def stream_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    """First arrival of every key, appended to a table batch by batch."""
-    stream = streams.read_message_stream(spark, _feed_jsonl(spark, sf, parts=4), _FEED_JSON)
-    path = scratch_path(spark, "stream-table")
-    streams.first_arrival_stream(stream, path, scratch_path(spark, "stream-state"))
+    """First arrival of every key in a table, from files that come in as two deliveries.
+
+    The stream is restarted from its checkpoint for the second.
+    """
+    rows = _feed(spark, sf).select(*_FEED_JSON.names)
+    middle = F.lit(rows.agg(F.avg("arrival_index")).first()[0])
+    folder, path = scratch_path(spark, "deliveries"), scratch_path(spark, "stream-table")
+    state = scratch_path(spark, "stream-state")
+    for delivery in (F.col("arrival_index") < middle, F.col("arrival_index") >= middle):
+        rows.filter(delivery).write.mode("append").json(folder)
+        stream = streams.read_message_stream(spark, folder, _FEED_JSON)
+        streams.first_arrival_stream(stream, path, state)
     return table.read_table(spark, path).select(*_STORED)
 
 
@@ -831,8 +847,7 @@ def stream_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Last write per message, merged into a table batch by batch."""
-    source = _feed_jsonl(spark, sf, parts=2)
-    stream = streams.read_message_stream(spark, source, _FEED_JSON, files_per_batch=1)
+    stream = _feed_stream(spark, sf, batches=2)
     path = scratch_path(spark, "stream-table")
     streams.upsert_stream(stream, path, scratch_path(spark, "stream-state"))
     return table.read_table(spark, path).select(

@@ -93,6 +93,20 @@ def test_gathered_partitions_have_few_files(spark, path):
     assert dataset_size(dataset_files(spark, path + "-loose")).first()["files"] == 32
 
 
+def test_hot_partition_is_split_over_files(spark, path):
+    hot = F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.lit("cold"))
+    df = spark.range(200_000).repartition(8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"), hot.alias("part"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "2m")
+    try:
+        writes.write_partitioned(df, path, "part")
+    finally:
+        spark.conf.unset(size)
+    sizes = [r["length"] for r in dataset_files(spark, path).filter("path LIKE '%part=hot%'").collect()]
+    assert len(sizes) > 3 and max(sizes) < sum(sizes) / 2
+    assert spark.read.parquet(path).count() == 200_000
+
+
 def test_replaced_dates_leave_others(spark, path):
     df = spark.createDataFrame([(1, "d1"), (2, "d2")], "id long, partition_date string")
     writes.write_partitioned(df, path, "partition_date")
