@@ -172,7 +172,8 @@ def _commit(
         # Counted in the writing stage itself, where each finished task counts once.
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        writing = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writing.partitionBy(*partition_by).parquet(folder)
         written = counted.get.get("rows", 0)
     line = {
         "version": version,

@@ -31,7 +31,8 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], gather:
     by = [by] if isinstance(by, str) else list(by)
     if gather:
         df = df.hint("rebalance", *[F.col(c) for c in by])
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    writing = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writing.partitionBy(*by).parquet(path)
     return path
 
 

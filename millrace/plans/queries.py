@@ -269,16 +269,10 @@ def layout_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return compared.select("layout", "rows_read")
 
 
-def _stored_codecs(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
-    lines = _table(spark, sf, "lineitem")
-    folder = scratch_path(spark, "codecs")
-    return compare.compare_codecs(lines, folder), folder
-
-
 @registered()
 def codec_sizes(spark: SparkSession, sf: str) -> DataFrame:
     """Bytes and seconds per codec; nothing another engine could repeat."""
-    return _stored_codecs(spark, sf)[0]
+    return compare.compare_codecs(_table(spark, sf, "lineitem"), scratch_path(spark, "codecs"))
 
 
 @registered(
@@ -286,7 +280,9 @@ def codec_sizes(spark: SparkSession, sf: str) -> DataFrame:
     (VALUES ('uncompressed'), ('snappy'), ('gzip')) AS codecs(codec) GROUP BY codec"""
 )
 def codec_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    _, folder = _stored_codecs(spark, sf)
+    folder = scratch_path(spark, "codecs")
+    for name in writes.CODECS:
+        writes.write_parquet(_table(spark, sf, "lineitem"), f"{folder}/{name}", name)
     stored = files.scan_parquet(spark, f"{folder}/*")
     codec = F.regexp_extract(F.col("_metadata.file_path"), r"/([a-z]+)/part-[^/]*$", 1)
     return stored.groupBy(codec.alias("codec")).agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.keys import KEY_FIELDS, composite_key, epoch_time
+from millrace.functions.keys import KEY_FIELDS, composite_key, epoch_date, epoch_time
 from millrace.operators.bounds import BROADCAST_BYTES, measured_bytes
 from millrace.operators.dedup import ARRIVAL, WRITE_ORDER, keep_first
 from millrace.operators.positions import with_row_index
@@ -170,21 +170,35 @@ def first_arrival_stream(
     checkpoint: str,
     keys: Sequence[str] = KEY_FIELDS,
     order: Sequence[str] = ARRIVAL,
+    by_date: bool = False,
     broadcast_limit: int = BROADCAST_BYTES,
 ):
     """Append the first arrival of each new key to a versioned table.
 
     Unlike :func:`drop_seen` it defines which row survives within a micro-batch, and a key that
     floods a batch is thinned before the shuffle. What has been seen is the table itself.
+
+    With ``by_date`` the table is partitioned by the date of ``created_at``, and a batch looks only
+    into its own dates. A redelivery carries its message's ``created_at``, so it is still found; a
+    key used again on another date counts as new.
     """
     keys = list(keys)
+    dates = ["partition_date"] if by_date else []
 
     def write(batch: DataFrame, writer: str, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = keep_first(batch, keys, order).withColumn("composite_hash", composite_key(keys))
+        if by_date:
+            batch = batch.withColumn("partition_date", epoch_date(F.col("created_at")))
+        fresh = keep_first(batch, keys + dates, order).withColumn("composite_hash", composite_key(keys))
         if current_version(spark, path) is not None:
-            fresh = unseen(fresh, read_table(spark, path), keys, broadcast_limit)
-        write_table(fresh, path, writer=writer, batch_id=batch_id)
+            table = read_table(spark, path)
+            if by_date:
+                # At most as many values as the batch has dates.
+                found = [row[0] for row in batch.select(*dates).distinct().collect()]
+                known = F.col("partition_date").isin([d for d in found if d is not None])
+                table = table.filter(known | F.col("partition_date").isNull())
+            fresh = unseen(fresh, table, keys + dates, broadcast_limit)
+        write_table(fresh, path, partition_by=dates, writer=writer, batch_id=batch_id)
 
     return _each_batch(stream, path, checkpoint, write)
 

@@ -94,6 +94,17 @@ def test_slice_rows(spark, monkeypatch, limit, offset, length):
     assert sorted(tuple(r) for r in found.collect()) == expected
 
 
+def test_slice_sorts_only_what_may_belong_to_it(spark, monkeypatch):
+    monkeypatch.setattr(positions, "TOP_N_ROWS", 10)
+    df = spark.range(20_000).select(
+        F.when(F.col("id") < 19_950, F.pmod(F.col("id") * 7919, F.lit(19_950))).alias("k"), "id"
+    )
+    head = positions._without_tail(df, "k", 1000)
+    assert 1000 <= head.count() < 1500
+    found = rows(positions.slice_rows(df, ["k", "id"], 40, 1000), "k")
+    assert found == [(None,)] * 10 + [(i,) for i in sorted(range(990), key=str)]
+
+
 def test_row_index_is_dense_over_several_keys(spark):
     df = spark.range(5000).select(F.pmod(F.col("id") * 7919, F.lit(13)).alias("a"), "id")
     found = positions.with_row_index(df.repartition(5), ["a", F.col("id").desc()])

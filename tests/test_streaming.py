@@ -108,6 +108,17 @@ def test_first_arrivals_to_table(spark, source, tmp_path):
     assert [r[0] for r in rows(read_table(spark, table), "arrival_index")] == [1, 2, 5, 8]
 
 
+def test_first_arrivals_by_date(spark, source, tmp_path):
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    nowhen = dict(message("n", 0, 7), created_at=None)
+    source.add(message("a", 0, 1), message("b", 0, 2), nowhen)
+    source.add(message("a", 0, 3), message("a", 48 * HOUR, 4), message("c", 0, 5), dict(nowhen, arrival_index=8))
+    streams.first_arrival_stream(source.stream(spark), table, state, by_date=True)
+    found = read_table(spark, table)
+    assert [r[0] for r in rows(found, "arrival_index")] == [1, 2, 4, 5, 7]
+    assert found.select("partition_date").distinct().count() == 3
+
+
 def test_replayed_batch_is_not_written_twice(spark, source, tmp_path):
     table = str(tmp_path / "table")
     source.add(message("a", 0, 1))
