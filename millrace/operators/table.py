@@ -20,7 +20,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,10 +87,9 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
     if version is not None:
         ledger = ledger.filter(F.col("version") <= version)
     # Only the lines since the last full rewrite matter.
-    whole = Window.partitionBy(F.lit(0))
-    base = F.max_by("base_version", "version").over(whole)
-    lines = ledger.withColumn("_base", base).filter(F.col("version") >= F.col("_base"))
-    lines = sorted(lines.collect(), key=lambda line: line["version"])
+    base = ledger.agg(F.max_by("base_version", "version")).scalar()
+    lines = ledger.filter(F.col("version") >= base).collect()
+    lines.sort(key=lambda line: line["version"])
     if not lines:
         return None
     last = lines[-1]
@@ -162,6 +161,8 @@ def _commit(
     batch_id: int | None = None,
     gather: bool = True,
 ) -> int:
+    if COMMIT in schema.names:
+        raise SchemaMismatch([f"{COMMIT}: reserved column name"])
     version = 0 if found is None else found.version + 1
     written = 0
     if rows is not None:
@@ -221,8 +222,6 @@ def write_table(
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
-    if COMMIT in df.columns:
-        raise SchemaMismatch([f"{COMMIT}: reserved column name"])
     spark = df.sparkSession
     found = snapshot(spark, path)
     if found is None or (mode == "overwrite" and replace_schema):

@@ -77,7 +77,7 @@ def test_empty_commit(spark, path):
         ("id long, part string, value string", "value: string does not fit bigint"),
         ("id long, part string", "value: missing"),
         ("id long, part string, value double", "value: double does not fit bigint"),
-        ("id long, part string, value long, commit long", "commit: reserved"),
+        ("id long, part string, value long, commit long", "commit: not in the table"),
     ],
 )
 def test_bad_rows_are_refused_before_any_file(spark, path, bad, message):
@@ -89,6 +89,14 @@ def test_bad_rows_are_refused_before_any_file(spark, path, bad, message):
     assert files_below(path) == before and current_version(spark, path) == 0
 
 
+def test_commit_is_a_reserved_name(spark, path):
+    with pytest.raises(SchemaMismatch, match="commit: reserved"):
+        write_table(frame(spark, (1, 2), schema="id long, commit long"), path)
+    with pytest.raises(SchemaMismatch, match="commit: reserved"):
+        upsert(frame(spark, (1, 2), schema="id long, commit long"), path, ["id"], ["commit"])
+    assert current_version(spark, path) is None and not os.path.exists(path)
+
+
 def test_narrow_numbers_are_widened_and_order_is_free(spark, path):
     write_table(frame(spark, (1, "a", 1)), path)
     write_table(spark.createDataFrame([(7, 2, "b")], "value int, id int, part string"), path)
