@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, html, mixing, secrets, tokens
+from millrace.llm import decontaminate, html, mixing, near, neighbours, quality, repeats, secrets, tokens, toxicity
 
 #: The vocabulary of the token counts; a name in the installed folder of public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
@@ -14,14 +15,26 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def _contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def _main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_texts(_read(spark, sf_dir, "pages"))
 
 
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(_read(spark, sf_dir, "documents"))
+
+
 def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,15 +45,29 @@ def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(_read(spark, sf_dir, "documents"))
 
 
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(_read(spark, sf_dir, "documents"), size=3, part=85, whole=100)
+
+
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
+    "op1_quality_classifier": _quality,
     "op2_decontamination": _contamination,
+    "op3_toxicity": _toxicity,
     "op4_html_extraction": _main_texts,
+    "op5_suffix_dedup": _repeats,
     "op6_token_counts": _token_counts,
     "op7_secret_scan": _secrets,
+    "op8_minhash_near_dedup": _near_duplicates,
+    "op9_nearest_neighbours": _nearest,
     "op10_source_mixing": _mix,
 }
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
+STEP_ROWS = 1024
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -35,12 +36,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most`` bytes each; every row is in exactly one."""
+def steps(offsets: np.ndarray, most: int = STEP_BYTES, rows: int = STEP_ROWS) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` bytes and at most ``rows`` rows; every row is in exactly one."""
     low = 0
     while low < len(offsets) - 1:
         high = int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1
-        high = min(max(high, low + 1), len(offsets) - 1)
+        high = min(max(high, low + 1), low + rows, len(offsets) - 1)
         yield low, high
         low = high
 
