@@ -17,33 +17,25 @@ def labelled(prefix: str, value: Column) -> Column:
     return F.concat(F.lit(prefix), value.cast("string"))
 
 
-# The prime modulus 2^31 - 1 and two of its usual multipliers.
-_MODULUS = 2147483647
-_FIRST_MULTIPLIER = 48271
-_SECOND_MULTIPLIER = 69621
+# Hex digits of a digest: 60 bits, which every SQL engine holds in a 64-bit number.
+_DIGITS = 15
 
 
 def pick(row_id: Column, seed: int, choices: int | Column) -> Column:
-    """A number in ``[0, choices)`` fixed by ``row_id`` and ``seed`` alone.
+    """A number in ``[0, choices)`` fixed by ``row_id`` and ``seed`` alone; null for a null id.
 
-    It does not depend on partitioning, so a recomputed task picks the same again, and it uses only
-    64-bit arithmetic that any SQL engine repeats.
+    It does not depend on partitioning, so a recomputed task picks the same again. It comes from a digest,
+    so that far ids don't repeat near ones' picks and every number below 2^60 can be drawn.
     """
-    modulus = F.lit(_MODULUS).cast("long")
-    mixed = (F.pmod(row_id.cast("long"), modulus) * _FIRST_MULTIPLIER + F.lit(seed)) % modulus
-    mixed = mixed.bitwiseXOR(F.shiftright(mixed, 16))
-    mixed = (mixed * _SECOND_MULTIPLIER + F.lit(1)) % modulus
-    mixed = mixed.bitwiseXOR(F.shiftright(mixed, 15))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("long").cast("string")).cast("binary"))
     count = choices if isinstance(choices, Column) else F.lit(choices)
-    return mixed % count.cast("long")
+    return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("long") % count.cast("long")
 
 
 def pick_sql(row_id: str, seed: int, choices: str | int) -> str:
     """The SQL text of :func:`pick`, for checks in another engine."""
-    first = f"((({row_id}) % {_MODULUS}) * {_FIRST_MULTIPLIER} + {seed}) % {_MODULUS}"
-    mixed = f"xor(({first}), (({first}) >> 16))"
-    second = f"(({mixed}) * {_SECOND_MULTIPLIER} + 1) % {_MODULUS}"
-    return f"(xor(({second}), (({second}) >> 15)) % ({choices}))"
+    digest = f"md5('{seed}:' || CAST(({row_id}) AS VARCHAR))"
+    return f"(CAST('0x' || substr({digest}, 1, {_DIGITS}) AS BIGINT) % ({choices}))"
 
 
 def pick_from(row_id: Column, seed: int, values: Sequence[str]) -> Column:

@@ -87,9 +87,12 @@ def first_arrivals(received: DataFrame, n: int = 15) -> DataFrame:
 
 
 def feed_quality(received: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Per partition: duplicate rate, delivery latency and share of steps back in arrival order."""
+    """Per partition: duplicate rate, delivery latency and share of steps back in arrival order.
+
+    A message is told by its ``message_id``; messages without one are one unknown message.
+    """
     latency = F.col("arrival_ts") - F.col("created_at")
-    per_key = received.groupBy("partition_id", "message_id", "sequence_id").agg(
+    per_key = received.groupBy("partition_id", "message_id").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(latency).alias("_latency"),
         F.count(latency).alias("_timed"),
@@ -114,10 +117,17 @@ def feed_quality(received: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFra
     )
 
 
-def dates_after(bronze: DataFrame, date) -> DataFrame:
-    """Bronze rows of dates not yet processed; prunes the partition directories."""
-    return bronze.filter(F.col("partition_date") > F.lit(date))
+def dates_after(bronze: DataFrame, date, unknown: bool = True) -> DataFrame:
+    """Bronze rows of dates not yet processed; prunes the partition directories.
+
+    Rows of unknown date belong to no processed date; ``unknown=False`` leaves them out, and
+    ``on_date(bronze, None)`` has them alone.
+    """
+    later = F.col("partition_date") > F.lit(date)
+    return bronze.filter(later | F.col("partition_date").isNull() if unknown else later)
 
 
 def on_date(bronze: DataFrame, date) -> DataFrame:
-    return bronze.filter(F.col("partition_date") == F.lit(date))
+    """Bronze rows of one date; of unknown date for ``None``."""
+    known = F.col("partition_date")
+    return bronze.filter(known.isNull() if date is None else known == F.lit(date))

@@ -6,13 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.operators.bounds import broadcast_if_small
 from millrace.operators.relational import sort_keys
 from millrace.session import scratch_path
 
-# Up to this many rows a plain top-n is cheaper than numbering all rows.
+# Up to this many rows a plain top-n is cheaper than numbering all rows; the rows are the same.
 TOP_N_ROWS = 10_000
 
 
@@ -51,31 +50,18 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
 def slice_rows(df: DataFrame, order: Sequence[str | Column], offset: int, length: int) -> DataFrame:
     """``length`` rows from position ``offset`` in the given order.
 
-    Where the order starts with a named numeric column, rows that surely lie behind the slice are
-    filtered away before anything is sorted.
+    Rows that tie are in the order of a hash of the row, however many rows are asked for: a short slice
+    near the start is a plain top-n and any other one numbers the rows, over the same keys.
     """
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
     end = offset + length
     if end <= TOP_N_ROWS:
-        return df.orderBy(*order).offset(offset).limit(length)
-    if isinstance(order[0], str) and isinstance(df.schema[order[0]].dataType, T.NumericType):
-        df = _without_tail(df, order[0], end)
+        return df.orderBy(*sort_keys(df, *columns)).offset(offset).limit(length)
     indexed = with_row_index(df, order, "_index")
     inside = (F.col("_index") >= offset) & (F.col("_index") < end)
     return indexed.filter(inside).drop("_index")
 
 
-def _without_tail(df: DataFrame, column: str, n: int) -> DataFrame:
-    """``df`` less rows that cannot be among the first ``n`` by ``column`` (nulls come first)."""
-    total = df.count()
-    share = 1.02 * n / total + 0.001 if total else 1.0
-    if share >= 0.9:
-        return df
-    bound = df.agg(F.percentile_approx(column, share)).first()[0]
-    head = df.filter(F.col(column).isNull() | (F.col(column) <= F.lit(bound)))
-    # The percentile is approximate; whether enough rows are left is counted.
-    return head if head.count() >= n else df
-
-
 def first_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
     """The first ``n`` rows in the given order."""
     return slice_rows(df, order, 0, n)

@@ -1,30 +1,32 @@
 """Versioned tables: Parquet folders, one per commit, and a ledger of commits.
 
-    path/data/commit=N[/part=value]/*.parquet     the rows that commit N added
-    path/ledger/version=N/*.json                  one line that makes commit N visible
-
-A commit writes its rows first and its ledger line last, so a job that dies in between leaves nothing
-readable, and the next commit takes over the folder. Readers list only the folders of live commits
-and take the schema from the ledger, so no file footer is read for it and columns that older files
-lack come back null. Old commits stay for reading earlier versions.
-
-One writer at a time per table is assumed; a second writer of the same version fails on its ledger
-line. The ledger is small, one line per commit; ``compact`` starts a new base, after which readers
-skip all earlier commits.
+    path/data/commit=N-<attempt>[/part=value]/*.parquet     the rows that commit N added
+    path/ledger/<thousands>/<N>.json                        one line that makes commit N visible
+
+Each attempt of a commit writes its rows to a fresh folder and publishes them last, by moving its
+ledger line into place without overwriting. A job that dies in between leaves nothing readable and
+stops nobody; of two writers of one version the second fails and the first one's rows stay.
+
+A ledger line is a whole snapshot: the folders it reads, the newest version that hides each partition
+or bucket, and the last batch of each stream. Readers open the newest line only. Appends fold
+:data:`FOLD_COMMITS` folders of a tier into one of the next, so a line stays short however many
+commits there were, and each row is rewritten a logarithmic number of times. Old folders stay for
+reading earlier versions.
 """
 
 from __future__ import annotations
 
 import datetime
 import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.bounds import BROADCAST_BYTES, measured_bytes
+from millrace.functions.keys import KEY_FIELDS, composite_key
 from millrace.operators.dedup import WRITE_ORDER, keep_last
 from millrace.operators.quality import (
     SchemaMismatch,
@@ -34,25 +36,23 @@ from millrace.operators.quality import (
     with_required,
 )
 from millrace.operators.sizes import dataset_files
-from millrace.session import path_exists, pin
+from millrace.session import list_names, pin, publish, read_file
 
 COMMIT = "commit"
-# Up to this many rows an upsert simply shuffles the table.
-SHUFFLE_ROWS = 5_000_000
-LEDGER = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("base_version", T.LongType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("schema_json", T.StringType()),
-        T.StructField("partition_by", T.ArrayType(T.StringType())),
-        T.StructField("hidden", T.ArrayType(T.StringType())),
-        T.StructField("unique_key", T.ArrayType(T.StringType())),
-        T.StructField("writer", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("written_at", T.StringType()),
-    ]
+BUCKET = "key_bucket"
+RESERVED = (COMMIT, BUCKET)
+#: Folders of one tier that a table reads before they are folded into one.
+FOLD_COMMITS = 64
+#: Buckets of a table made by an upsert. A bucket is the least that an upsert rewrites.
+BUCKETS = 16
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+_SEGMENT = 1000
+
+LEDGER = (
+    "version bigint, operation string, base_version bigint, rows bigint, total_rows bigint, batch_rows bigint, "
+    "existing_rows bigint, schema_json string, partition_by array<string>, bucket_by array<string>, buckets int, "
+    "unique_key array<string>, live array<struct<folder: string, version: bigint, tier: int>>, "
+    "hidden map<string, bigint>, writers map<string, bigint>, writer string, batch_id bigint, written_at string"
 )
 
 
@@ -64,10 +64,13 @@ class Snapshot:
     base: int
     schema: T.StructType
     partition_by: list[str]
+    bucket_by: list[str]
+    buckets: int
     unique_key: list[str]
-    commits: list[int]
-    rows: int
-    hidden: list[tuple[int, list[str | None]]] = field(default_factory=list)
+    live: list[dict]
+    hidden: dict[str, int]
+    writers: dict[str, int]
+    total_rows: int | None
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
@@ -75,35 +78,40 @@ def history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).option("recursiveFileLookup", True).json(f"{path}/ledger")
 
 
-def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    return history(spark, path) if path_exists(spark, f"{path}/ledger") else None
+def _line_path(path: str, version: int) -> str:
+    return f"{path}/ledger/{version // _SEGMENT:012d}/{version:015d}.json"
+
+
+def _lines(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """The oldest and newest version, from names alone: those of one segment of the ledger."""
+    segments = list_names(spark, f"{path}/ledger")
+    for segment in sorted(segments, reverse=True):
+        names = [n for n in list_names(spark, f"{path}/ledger/{segment}") if n.endswith(".json") and n[0] != "."]
+        if names:
+            return 0, max(int(n.removesuffix(".json")) for n in names)
+    return None
 
 
 def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot | None:
     """The given or latest version; ``None`` if the table does not exist."""
-    ledger = _ledger(spark, path)
-    if ledger is None:
-        return None
-    if version is not None:
-        ledger = ledger.filter(F.col("version") <= version)
-    # Only the lines since the last full rewrite matter.
-    base = ledger.agg(F.max_by("base_version", "version")).scalar()
-    lines = ledger.filter(F.col("version") >= base).collect()
-    lines.sort(key=lambda line: line["version"])
-    if not lines:
+    known = _lines(spark, path)
+    if known is None:
         return None
-    last = lines[-1]
-    if version is not None and last["version"] != version:
+    if version is not None and not known[0] <= version <= known[1]:
         raise ValueError(f"{path} has no version {version}")
+    line = json.loads(read_file(spark, _line_path(path, known[1] if version is None else version)))
     return Snapshot(
-        version=last["version"],
-        base=last["base_version"],
-        schema=T.StructType.fromJson(json.loads(last["schema_json"])),
-        partition_by=last["partition_by"],
-        unique_key=last["unique_key"],
-        commits=[line["version"] for line in lines if line["operation"] != "drop"],
-        rows=sum(line["rows"] for line in lines),
-        hidden=[(line["version"], line["hidden"]) for line in lines if line["hidden"]],
+        version=line["version"],
+        base=line["base_version"],
+        schema=T.StructType.fromJson(json.loads(line["schema_json"])),
+        partition_by=line["partition_by"],
+        bucket_by=line["bucket_by"],
+        buckets=line["buckets"],
+        unique_key=line["unique_key"],
+        live=line["live"],
+        hidden=line["hidden"],
+        writers=line["writers"],
+        total_rows=line["total_rows"],
     )
 
 
@@ -120,30 +128,51 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     return _read(spark, path, found)
 
 
-def _read(spark: SparkSession, path: str, found: Snapshot) -> DataFrame:
-    if not found.commits:
+def _stored_columns(schema: T.StructType, bucketed: bool) -> T.StructType:
+    extra = [T.StructField(COMMIT, T.StringType())]
+    if bucketed:
+        extra.append(T.StructField(BUCKET, T.IntegerType()))
+    return T.StructType([*schema.fields, *extra])
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    found: Snapshot,
+    buckets: Sequence[int] | None = None,
+    live: Sequence[dict] | None = None,
+) -> DataFrame:
+    live = found.live if live is None else live
+    if not live:
         return spark.createDataFrame([], found.schema)
-    folders = [f"{path}/data/{COMMIT}={n}" for n in found.commits]
-    stored = T.StructType(list(found.schema.fields) + [T.StructField(COMMIT, T.LongType())])
+    folders = [f"{path}/data/{entry['folder']}" for entry in live]
+    stored = _stored_columns(found.schema, bool(found.buckets))
     rows = spark.read.schema(stored).option("basePath", f"{path}/data").parquet(*folders)
-    for version, values in found.hidden:
+    if buckets is not None:
+        rows = rows.filter(F.col(BUCKET).isin(list(buckets)))
+    part = BUCKET if found.buckets else found.partition_by[0] if found.partition_by else None
+    if found.hidden and part:
         # Both columns are directories, so hidden files are not opened.
-        part = F.col(found.partition_by[0])
-        named = [v for v in values if v is not None]
-        kind = found.schema[found.partition_by[0]].dataType
-        gone = F.coalesce(part.isin([F.lit(v).cast(kind) for v in named]), F.lit(False))
-        if len(named) < len(values):
-            gone = gone | part.isNull()
-        rows = rows.filter(~((F.col(COMMIT) < version) & gone))
+        name = F.coalesce(F.col(f"`{part}`").cast("string"), F.lit(NULL_PART))
+        own = F.substring_index(F.col(COMMIT), "-", 1).cast("long")
+        newest = F.try_element_at(_literal_map(found.hidden), name)
+        rows = rows.filter(F.coalesce(own >= newest, F.lit(True)))
     return rows.select(*[F.col(f"`{f.name}`") for f in found.schema])
 
 
+def _literal_map(values: dict[str, int]) -> Column:
+    pairs = [F.lit(x) for name, version in values.items() for x in (name, version)]
+    return F.create_map(*pairs)
+
+
 def already_committed(spark: SparkSession, path: str, writer: str, batch_id: int) -> bool:
-    ledger = _ledger(spark, path)
-    if ledger is None:
-        return False
-    done = ledger.filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
-    return not done.isEmpty()
+    """Whether the writer has committed this batch or, batches being numbered upwards, a later one."""
+    found = snapshot(spark, path)
+    return found is not None and found.writers.get(writer, -1) >= batch_id
+
+
+def _bucket(columns: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(buckets)).cast("int")
 
 
 def _commit(
@@ -154,48 +183,127 @@ def _commit(
     found: Snapshot | None,
     schema: T.StructType,
     partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
     rewrites_all: bool = False,
-    hidden: Sequence[str | None] = (),
+    instead_of: Sequence[str] = (),
+    hidden: Sequence[str] = (),
+    hides_written: bool = False,
     unique_key: Sequence[str] = (),
     writer: str | None = None,
     batch_id: int | None = None,
     gather: bool = True,
+    tier: int = 0,
+    counts: Observation | None = None,
 ) -> int:
-    if COMMIT in schema.names:
-        raise SchemaMismatch([f"{COMMIT}: reserved column name"])
+    for name in RESERVED:
+        if name in schema.names:
+            raise SchemaMismatch([f"{name}: reserved column name"])
     version = 0 if found is None else found.version + 1
+    live = [] if rewrites_all or found is None else [e for e in found.live if e["folder"] not in instead_of]
     written = 0
+    hidden = list(hidden)
     if rows is not None:
-        folder = f"{path}/data/{COMMIT}={version}"
-        if partition_by and gather:
+        folder = f"{COMMIT}={version}-{uuid.uuid4().hex[:12]}"
+        parts = list(partition_by)
+        for name in parts:
+            if isinstance(schema[name].dataType, T.StringType):
+                # The directory layout would turn it into null.
+                refusal = F.raise_error(F.lit(f"empty text in partition column {name}")).cast("string")
+                rows = rows.withColumn(name, F.when(F.col(f"`{name}`") == "", refusal).otherwise(F.col(f"`{name}`")))
+        if buckets:
+            rows = rows.withColumn(BUCKET, _bucket(bucket_by, buckets))
+            parts = [BUCKET]
+        if parts and gather:
             # One shuffle so that a partition value ends in few files; AQE splits a hot value.
-            rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+            rows = rows.hint("rebalance", *[F.col(f"`{c}`") for c in parts])
         # Counted in the writing stage itself, where each finished task counts once.
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        writing = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writing.partitionBy(*partition_by).parquet(folder)
+        rows.write.partitionBy(*parts).parquet(f"{path}/data/{folder}")
         written = counted.get.get("rows", 0)
+        if written:
+            live.append({"folder": folder, "version": version, "tier": tier})
+            if hides_written:
+                # From what was written, so that it is the same rows.
+                prefix = f"{parts[0]}="
+                names = [n for n in list_names(spark, f"{path}/data/{folder}") if n.startswith(prefix)]
+                hidden += [_unescaped(n.removeprefix(prefix)) for n in names]
+    newest = {} if rewrites_all or found is None else dict(found.hidden)
+    newest |= {name: version for name in hidden}
+    oldest = min((e["version"] for e in live), default=version)
+    seen = counts.get if counts is not None else {}
+    existing = seen.get("existing", 0)
+    if operation in ("drop", "replace"):
+        total = None
+    elif rewrites_all or found is None:
+        total = written
+    elif found.total_rows is None:
+        total = None
+    else:
+        total = found.total_rows + (0 if instead_of else written - existing)
     line = {
         "version": version,
         "operation": operation,
         "base_version": version if rewrites_all or found is None else found.base,
         "rows": written,
+        "total_rows": total,
+        "batch_rows": seen.get("batch") if counts is not None else None,
+        "existing_rows": (found.total_rows if found else 0) if counts is not None else None,
         "schema_json": schema.json(),
         "partition_by": list(partition_by),
-        "hidden": list(hidden),
+        "bucket_by": list(bucket_by),
+        "buckets": buckets,
         "unique_key": list(unique_key),
+        "live": live,
+        # A value hidden before every live folder was written hides nothing any more.
+        "hidden": {name: at for name, at in newest.items() if at > oldest},
+        "writers": (found.writers if found else {}) | ({} if writer is None else {writer: batch_id}),
         "writer": writer,
         "batch_id": batch_id,
         "written_at": datetime.datetime.now(datetime.timezone.utc).isoformat(),
     }
-    entry = spark.range(1).select(F.from_json(F.lit(json.dumps(line)), LEDGER).alias("line"))
-    entry.select("line.*").coalesce(1).write.mode("errorifexists").json(
-        f"{path}/ledger/version={version}"
-    )
+    if not publish(spark, json.dumps(line), _line_path(path, version)):
+        raise FileExistsError(f"version {version} of {path} already exists: another writer was first")
     return version
 
 
+def _unescaped(name: str) -> str:
+    """The value of a directory name; Spark writes special characters as percent signs and two digits."""
+    out, at = [], 0
+    while at < len(name):
+        if name[at] == "%" and at + 2 < len(name) + 0 and all(c in "0123456789abcdefABCDEF" for c in name[at + 1 : at + 3]):
+            out.append(chr(int(name[at + 1 : at + 3], 16)))
+            at += 3
+        else:
+            out.append(name[at])
+            at += 1
+    return "".join(out)
+
+
+def _fold(spark: SparkSession, path: str, found: Snapshot, most: int) -> None:
+    """Folds full tiers, lowest first; rows that are hidden meanwhile end here."""
+    tier = 0
+    while sum(e["tier"] == tier for e in found.live) >= most:
+        own = [e for e in found.live if e["tier"] == tier]
+        _commit(
+            spark,
+            path,
+            "fold",
+            _read(spark, path, found, live=own),
+            found,
+            found.schema,
+            found.partition_by,
+            found.bucket_by,
+            found.buckets,
+            instead_of=[e["folder"] for e in own],
+            unique_key=found.unique_key,
+            tier=tier + 1,
+        )
+        found = snapshot(spark, path)
+        tier += 1
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -207,6 +315,10 @@ def write_table(
     gather: bool = True,
     writer: str | None = None,
     batch_id: int | None = None,
+    bucket_by: Sequence[str] = (),
+    buckets: int = BUCKETS,
+    fold_commits: int = FOLD_COMMITS,
+    found: Snapshot | None = None,
 ) -> int:
     """Append to or overwrite a table; returns the new version.
 
@@ -218,17 +330,22 @@ def write_table(
 
     Rows of a partitioned table are first shuffled by partition value, so that a value ends in few
     files; ``gather=False`` skips that where they arrive so arranged. An empty string in a partition
-    column would be read back as null by Spark's directory layout.
+    column is refused: directories can't tell it from null. ``bucket_by`` makes a new table of
+    ``buckets`` hash buckets of these columns instead. ``found`` is the snapshot to build on, the
+    latest by default; if it isn't the latest any more, the commit fails.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
-    found = snapshot(spark, path)
+    found = found or snapshot(spark, path)
     if found is None or (mode == "overwrite" and replace_schema):
         schema = with_required(df.schema, required)
-        parts = list(partition_by or ())
+        parts, keys = list(partition_by or ()), list(bucket_by)
+        buckets = buckets if keys else 0
+        if parts and keys:
+            raise ValueError("a table has partitions or buckets, not both")
     else:
-        parts = found.partition_by
+        parts, keys, buckets = found.partition_by, found.bucket_by, found.buckets
         if partition_by is not None and list(partition_by) != parts:
             raise SchemaMismatch([f"table is partitioned by {parts}, not {list(partition_by)}"])
         problems = schema_problems(
@@ -237,7 +354,7 @@ def write_table(
         if problems:
             raise SchemaMismatch(problems)
         schema = merged_schema(found.schema, df.schema)
-    return _commit(
+    version = _commit(
         spark,
         path,
         mode,
@@ -245,11 +362,16 @@ def write_table(
         found,
         schema,
         parts,
+        keys,
+        buckets,
         rewrites_all=mode == "overwrite",
         writer=writer,
         batch_id=batch_id,
         gather=gather,
     )
+    if mode == "append":
+        _fold(spark, path, snapshot(spark, path, version), fold_commits)
+    return version
 
 
 def upsert(
@@ -257,42 +379,61 @@ def upsert(
     path: str,
     key: Sequence[str] = ("message_id",),
     order: Sequence[str] = WRITE_ORDER,
-    broadcast_limit: int = BROADCAST_BYTES,
-    shuffle_rows: int = SHUFFLE_ROWS,
+    buckets: int = BUCKETS,
+    with_hash: bool = False,
     writer: str | None = None,
     batch_id: int | None = None,
+    fold_commits: int = FOLD_COMMITS,
 ) -> int:
-    """Merge a batch into a table so that each key keeps its latest row; returns the new version.
+    """Merge a batch into a table so that each key keeps its latest row; returns the version.
 
     Greatest ``order`` wins, nulls lose, and on a full tie the batch wins, so repeating a batch
-    changes nothing. The result is a new commit beside its input, never over it.
-
-    If the table has more than ``shuffle_rows`` rows, is known to hold each key once, and the
-    batch's keys are measured to fit a broadcast, the table is not shuffled: its rows are filtered
-    against the batch where they lie. Otherwise table and batch are shuffled once by key.
-
-    Either way the whole table is written anew. For small batches in quick succession append to a
-    bronze table and deduplicate on reading instead.
+    changes nothing. The table is made of ``buckets`` hash buckets of the key. Only the buckets that
+    the batch touches are read, merged with it in one shuffle and written anew, beside their earlier
+    form; the others stay. Choose so many buckets that one is a fair thing to rewrite. An empty batch
+    writes nothing. A table that has no buckets of this key, or whose keys an append may have
+    repeated, is rewritten once as a whole.
+
+    ``with_hash`` stores the ``composite_hash`` of the message columns too. :func:`merge_metrics`
+    tells how many rows came, were there and stayed.
     """
     spark = df.sparkSession
     key, order = list(key), list(order)
+    if with_hash:
+        df = df.withColumn("composite_hash", composite_key(KEY_FIELDS))
     found = snapshot(spark, path)
+    counts = Observation()
+    from_batch = "_from_batch"
+    seen = [F.count_if(F.col(from_batch) == n).alias(name) for n, name in ((0, "existing"), (1, "batch"))]
     if found is None:
-        merged, schema, parts = keep_last(df, key, order), with_required(df.schema, ()), []
+        batch = df.withColumn(from_batch, F.lit(1)).observe(counts, *seen)
+        merged, schema, parts = keep_last(batch, key, order).drop(from_batch), with_required(df.schema, ()), []
+        touched, rewrites_all = None, True
     else:
         problems = schema_problems(df.schema, found.schema)
         if problems:
             raise SchemaMismatch(problems)
         schema, parts = found.schema, found.partition_by
-        batch = keep_last(fit_to(df, schema), key, order)
-        table = _read(spark, path, found)
-        narrow = list(dict.fromkeys(key + order))
-        in_place = found.unique_key == key and found.rows > shuffle_rows
-        if in_place and measured_bytes(batch.select(narrow)) <= broadcast_limit:
-            merged = _merge_small_batch(table, pin(batch), key, order)
+        # The touched buckets and the merged rows come from one and the same batch.
+        batch = pin(fit_to(df, schema))
+        rewrites_all = not found.buckets or found.bucket_by != key or found.unique_key != key
+        if rewrites_all:
+            touched = None
+            if batch.isEmpty():
+                return found.version
         else:
-            merged = _merge_by_shuffle(table, batch, key, order)
-    return _commit(
+            # At most one row per bucket.
+            touched = [row[0] for row in batch.select(_bucket(key, found.buckets)).distinct().collect()]
+            if not touched:
+                return found.version
+        both = _read(spark, path, found, touched).withColumn(from_batch, F.lit(0))
+        both = both.unionByName(batch.withColumn(from_batch, F.lit(1))).observe(counts, *seen)
+        merged = keep_last(both, key, [*order, from_batch]).drop(from_batch)
+    if not rewrites_all:
+        buckets = found.buckets
+    if parts:
+        buckets = 0
+    version = _commit(
         spark,
         path,
         "upsert",
@@ -300,56 +441,38 @@ def upsert(
         found,
         schema,
         parts,
-        rewrites_all=True,
+        key if buckets else (),
+        buckets,
+        rewrites_all=rewrites_all,
+        hidden=[str(b) for b in touched or ()],
         unique_key=key,
         writer=writer,
         batch_id=batch_id,
+        counts=counts,
     )
+    _fold(spark, path, snapshot(spark, path, version), fold_commits)
+    return version
 
 
-def _merge_by_shuffle(
-    table: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    both = table.withColumn("_from_batch", F.lit(0)).unionByName(
-        batch.withColumn("_from_batch", F.lit(1))
+def merge_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Per upsert: rows of the batch, rows there before, rows after, and how many rows merging saved."""
+    done = history(spark, path).filter("operation = 'upsert'")
+    return done.select(
+        "version",
+        F.col("batch_rows").alias("initial_records"),
+        "existing_rows",
+        F.col("total_rows").alias("rows_in_table"),
+        (F.col("batch_rows") + F.col("existing_rows") - F.col("total_rows")).alias("merged_duplicates"),
     )
-    return keep_last(both, key, [*order, "_from_batch"]).drop("_from_batch")
 
 
-def _merge_small_batch(
-    table: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """Merge without shuffling ``table``: both joins broadcast the batch's key and order columns."""
-
-    def rival(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(
-            *[F.col(c).alias(f"{prefix}k{i}") for i, c in enumerate(key)],
-            F.struct(*order).alias(f"{prefix}order"),
-        )
-
-    def same_key(df: DataFrame, other: DataFrame, prefix: str):
-        tests = [df[c].eqNullSafe(other[f"{prefix}k{i}"]) for i, c in enumerate(key)]
-        condition = tests[0]
-        for test in tests[1:]:
-            condition = condition & test
-        return condition
-
-    # A struct compares field by field with null smallest, which is "nulls lose".
-    challengers = rival(batch, "_b")
-    beaten = same_key(table, challengers, "_b") & (
-        F.struct(*[table[c] for c in order]) <= challengers["_border"]
-    )
-    staying = table.join(F.broadcast(challengers), beaten, "left_anti")
-    # Table rows that beat the batch: at most one per batch key.
-    stronger = rival(staying, "_t")
-    defended = same_key(batch, stronger, "_t")
-    contested = stronger.join(
-        F.broadcast(challengers),
-        [stronger[f"_tk{i}"].eqNullSafe(challengers[f"_bk{i}"]) for i in range(len(key))],
-        "left_semi",
-    )
-    entering = batch.join(contested, defended, "left_anti")
-    return staying.unionByName(entering)
+def rows_of_keys(batch: DataFrame, path: str, key: Sequence[str], found: Snapshot) -> DataFrame:
+    """The table's rows in the buckets that the keys of ``batch`` (a stored frame) touch."""
+    spark = batch.sparkSession
+    if not found.buckets or found.bucket_by != list(key):
+        return _read(spark, path, found)
+    touched = [row[0] for row in batch.select(_bucket(key, found.buckets)).distinct().collect()]
+    return _read(spark, path, found, touched)
 
 
 def compact(spark: SparkSession, path: str, files: int | None = None) -> int:
@@ -372,6 +495,8 @@ def compact(spark: SparkSession, path: str, files: int | None = None) -> int:
         found,
         found.schema,
         found.partition_by,
+        found.bucket_by,
+        found.buckets,
         rewrites_all=True,
         unique_key=found.unique_key,
         gather=files is None,
@@ -382,10 +507,12 @@ def drop_partitions(spark: SparkSession, path: str, values: Sequence) -> int:
     """Hide partitions from the next version on. Writes only a ledger line.
 
     The folders remain for earlier versions; where rows must be erased, compact and then remove the
-    old commits with the file system's own tools.
+    old commits with the file system's own tools. No partition is named by an empty text.
     """
     found = snapshot(spark, path)
     _require_one_partition_column(path, found)
+    if "" in values:
+        raise ValueError("a partition can't be named by an empty text")
     return _commit(
         spark,
         path,
@@ -394,22 +521,22 @@ def drop_partitions(spark: SparkSession, path: str, values: Sequence) -> int:
         found,
         found.schema,
         found.partition_by,
-        hidden=[None if v is None else str(v) for v in values],
+        hidden=[NULL_PART if v is None else str(v) for v in values],
         unique_key=found.unique_key,
     )
 
 
 def replace_partitions(df: DataFrame, path: str) -> int:
-    """Put the rows of ``df`` in place of every partition they touch; others are not rewritten."""
+    """Put the rows of ``df`` in place of every partition they touch; others are not rewritten.
+
+    ``df`` is computed once: what it replaces is told by the folders that it wrote.
+    """
     spark = df.sparkSession
     found = snapshot(spark, path)
     _require_one_partition_column(path, found)
     problems = schema_problems(df.schema, found.schema)
     if problems:
         raise SchemaMismatch(problems)
-    part = found.partition_by[0]
-    # Directory names: as many as the partitions touched.
-    touched = fit_to(df, found.schema).select(F.col(part).cast("string")).distinct().collect()
     return _commit(
         spark,
         path,
@@ -418,7 +545,7 @@ def replace_partitions(df: DataFrame, path: str) -> int:
         found,
         found.schema,
         found.partition_by,
-        hidden=[row[0] for row in touched],
+        hides_written=True,
     )
 
 
@@ -434,19 +561,18 @@ def live_files(spark: SparkSession, path: str, version: int | None = None) -> Da
     found = snapshot(spark, path, version)
     if found is None:
         raise ValueError(f"no table at {path}")
-    if not found.commits:
+    if not found.live:
         return spark.createDataFrame([], "path string, length long")
-    files = dataset_files(spark, *[f"{path}/data/{COMMIT}={n}" for n in found.commits])
+    files = dataset_files(spark, *[f"{path}/data/{entry['folder']}" for entry in found.live])
     if not found.hidden:
         return files
+    part = BUCKET if found.buckets else found.partition_by[0]
     # Directory names are percent-encoded, with a plain plus sign.
-    name = F.regexp_extract("path", f"/{found.partition_by[0]}=([^/]*)/", 1)
+    name = F.regexp_extract("path", f"/{part}=([^/]*)/", 1)
     value = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    commit = F.regexp_extract("path", f"/{COMMIT}=([0-9]+)/", 1).cast("long")
-    for before, values in found.hidden:
-        gone = ["__HIVE_DEFAULT_PARTITION__" if v is None else v for v in values]
-        files = files.filter(~((commit < before) & value.isin(gone)))
-    return files
+    own = F.regexp_extract("path", f"/{COMMIT}=([0-9]+)-", 1).cast("long")
+    newest = F.try_element_at(_literal_map(found.hidden), value)
+    return files.filter(F.coalesce(own >= newest, F.lit(True)))
 
 
 def table_size(spark: SparkSession, path: str) -> DataFrame:

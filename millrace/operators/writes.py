@@ -44,11 +44,11 @@ def replace_dates(df: DataFrame, path: str, by: str = "partition_date") -> str:
     return path
 
 
-def write_with_fallback(df: DataFrame, primary: str, fallback: str, stable: bool = True) -> dict:
+def write_with_fallback(df: DataFrame, primary: str, fallback: str, stable: bool = False) -> dict:
     """Write to ``primary`` or, if that fails, to ``fallback``; says which one it was.
 
-    Set ``stable=False`` for rows that change when computed twice (random values, the clock): they
-    are checkpointed first, so that both attempts store the same.
+    The rows are made once, by a checkpoint, so that both attempts store the same also where rows
+    change when computed twice (random values, the clock). ``stable=True`` saves that for stored rows.
     """
     rows = df if stable else pin(df)
     try:

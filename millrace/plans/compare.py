@@ -78,7 +78,7 @@ def compare_strategies(df: DataFrame, folder: str, payload: Sequence[str] | None
             add_hashes(df, payload), path, "append", partition_by=["partition_date"]
         ),
         "merge_last_write": lambda path: write_table(latest_by_message(df), path, "overwrite"),
-        "merge_table": lambda path: upsert(df, path),
+        "merge_table": lambda path: upsert(df, path, with_hash=True),
     }
     rows = []
     for name, run in runs.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
@@ -21,6 +22,7 @@ SESSION_DEFAULTS = {
 }
 
 _local_scratch: str | None = None
+_scratch_used: list[str] = []
 
 
 def build_session(
@@ -60,6 +62,9 @@ def scratch_root(spark: SparkSession) -> str:
     global _local_scratch
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
+        local = shared.startswith("file:") or "://" not in shared and shared.startswith("/")
+        if local and spark.sparkContext.master.split("[")[0] not in ("local", "local-cluster"):
+            logging.getLogger(__name__).warning("spark.checkpoint.dir is %s: it must be a mount that all executors share", shared)
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
@@ -70,7 +75,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below :func:`scratch_root`."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch_used.append(path)
+    return path
 
 
 def pin(df):
@@ -81,7 +88,67 @@ def pin(df):
     return df.checkpoint()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, in whatever file system the path names."""
+# Small metadata files, in whatever file system a path names. They use the session's JVM, so they need
+# a classic session: Spark Connect has none.
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists."""
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such folder."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(target)]
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, text: str, path: str) -> bool:
+    """Puts a small file in place as a whole; False if one is there already, which then stays.
+
+    The text goes to a hidden file first, which is renamed without overwriting. What a crash leaves is
+    a hidden file that nobody reads.
+    """
+    system, target = _file_system(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(hidden, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(system.makeQualified(hidden), system.makeQualified(target), none)
+    except Exception:
+        if not system.exists(target):
+            raise
+        system.delete(hidden, False)
+        return False
+    return True
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this library's calls have stored in the scratch folder in this process.
+
+    Call it at the end of a session, when no result that reads scratch data is needed any more.
+    """
+    while _scratch_used:
+        system, target = _file_system(spark, _scratch_used.pop())
+        system.delete(target, True)

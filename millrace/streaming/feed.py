@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.keys import KEY_FIELDS, composite_key, epoch_date, epoch_time
-from millrace.operators.bounds import BROADCAST_BYTES, measured_bytes
 from millrace.operators.dedup import ARRIVAL, WRITE_ORDER, keep_first
 from millrace.operators.positions import with_row_index
 from millrace.operators.table import (
-    already_committed,
-    current_version,
+    BUCKETS,
+    Snapshot,
     read_table,
+    rows_of_keys,
+    snapshot,
     upsert,
     write_table,
 )
@@ -70,8 +72,18 @@ def with_event_time(stream: DataFrame) -> DataFrame:
 
 
 def _with_salt(stream: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
-    rest = [F.col(f"`{c}`") for c in stream.columns if c not in keys]
-    return stream.withColumn(SALT, F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.lit(0))
+    """A salt from the rest of the row and, for a stream of files, from the row's place.
+
+    Byte-equal redeliveries of one message lie in different files, so they are split too.
+    """
+    parts = [F.col(f"`{c}`") for c in stream.columns if c not in keys]
+    place = ["_metadata.file_path", "_metadata.file_block_start"]
+    try:
+        stream.select(*place)
+        parts += [F.col(c) for c in place]
+    except AnalysisException:  # not a stream of files
+        pass
+    return stream.withColumn(SALT, F.pmod(F.xxhash64(*parts), F.lit(salts)) if parts else F.lit(0))
 
 
 def drop_seen(stream: DataFrame, keys: Sequence[str] = KEY_FIELDS, salts: int = SALTS) -> DataFrame:
@@ -79,8 +91,8 @@ def drop_seen(stream: DataFrame, keys: Sequence[str] = KEY_FIELDS, salts: int =
 
     A stream cannot thin a key before its shuffle, so a hot key would meet in one task. Rows are
     therefore deduplicated in two steps, by key and a salt from the rest of the row, then by key: at
-    most ``salts`` rows of a key ever reach the second step. ``salts=1`` saves the first step where
-    no key is hot.
+    most ``salts`` rows of a key ever reach the second step. Raise ``salts`` with the share of the
+    hottest key times the number of tasks; ``salts=1`` saves the first step where no key is hot.
     """
     keys = list(keys)
     if salts > 1:
@@ -132,12 +144,16 @@ def late_rows(query) -> int:
 
 
 def _each_batch(stream: DataFrame, path: str, checkpoint: str, write):
-    """Run ``write(batch, batch_id)`` once per micro-batch, also if the batch is replayed."""
+    """Run ``write(batch, writer, batch_id, found)`` once per micro-batch, also if the batch is replayed.
+
+    ``found`` is the table's snapshot, read once per batch; the write builds on it.
+    """
     writer = f"stream:{checkpoint}"
 
     def once(batch: DataFrame, batch_id: int) -> None:
-        if not already_committed(batch.sparkSession, path, writer, batch_id):
-            write(batch, writer, batch_id)
+        found = snapshot(batch.sparkSession, path)
+        if found is None or found.writers.get(writer, -1) < batch_id:
+            write(batch, writer, batch_id, found)
 
     query = (
         stream.writeStream.foreachBatch(once)
@@ -155,11 +171,13 @@ def upsert_stream(
     checkpoint: str,
     key: Sequence[str] = ("message_id",),
     order: Sequence[str] = WRITE_ORDER,
+    buckets: int = BUCKETS,
+    with_hash: bool = False,
 ):
-    """Last-write-wins merge of every micro-batch into a versioned table."""
+    """Last-write-wins merge of every micro-batch into a versioned table, bucket by bucket."""
 
-    def write(batch: DataFrame, writer: str, batch_id: int) -> None:
-        upsert(batch, path, key, order, writer=writer, batch_id=batch_id)
+    def write(batch: DataFrame, writer: str, batch_id: int, found: Snapshot | None) -> None:
+        upsert(batch, path, key, order, buckets, with_hash, writer=writer, batch_id=batch_id)
 
     return _each_batch(stream, path, checkpoint, write)
 
@@ -171,51 +189,55 @@ def first_arrival_stream(
     keys: Sequence[str] = KEY_FIELDS,
     order: Sequence[str] = ARRIVAL,
     by_date: bool = False,
-    broadcast_limit: int = BROADCAST_BYTES,
+    buckets: int = BUCKETS,
 ):
     """Append the first arrival of each new key to a versioned table.
 
     Unlike :func:`drop_seen` it defines which row survives within a micro-batch, and a key that
-    floods a batch is thinned before the shuffle. What has been seen is the table itself.
+    floods a batch is thinned before the shuffle. What has been seen is the table itself, in hash
+    buckets of the key: a batch looks only into the buckets that it touches. A batch that brings
+    nothing new commits nothing.
 
-    With ``by_date`` the table is partitioned by the date of ``created_at``, and a batch looks only
-    into its own dates. A redelivery carries its message's ``created_at``, so it is still found; a
-    key used again on another date counts as new.
+    With ``by_date`` the table is partitioned by the date of ``created_at`` instead, and a batch looks
+    only into its own dates. A redelivery carries its message's ``created_at``, so it is still found;
+    a key used again on another date counts as new.
     """
     keys = list(keys)
     dates = ["partition_date"] if by_date else []
 
-    def write(batch: DataFrame, writer: str, batch_id: int) -> None:
+    def write(batch: DataFrame, writer: str, batch_id: int, found: Snapshot | None) -> None:
         spark = batch.sparkSession
         if by_date:
             batch = batch.withColumn("partition_date", epoch_date(F.col("created_at")))
         fresh = keep_first(batch, keys + dates, order).withColumn("composite_hash", composite_key(keys))
-        if current_version(spark, path) is not None:
-            table = read_table(spark, path)
+        if found is not None:
+            fresh = pin(fresh)
             if by_date:
                 # At most as many values as the batch has dates.
-                found = [row[0] for row in batch.select(*dates).distinct().collect()]
-                known = F.col("partition_date").isin([d for d in found if d is not None])
-                table = table.filter(known | F.col("partition_date").isNull())
-            fresh = unseen(fresh, table, keys + dates, broadcast_limit)
-        write_table(fresh, path, partition_by=dates, writer=writer, batch_id=batch_id)
+                own = [row[0] for row in fresh.select(*dates).distinct().collect()]
+                known = F.col("partition_date").isin([d for d in own if d is not None])
+                table = read_table(spark, path).filter(known | F.col("partition_date").isNull())
+            else:
+                table = rows_of_keys(fresh, path, keys, found)
+            fresh = pin(unseen(fresh, table, keys + dates))
+            if fresh.isEmpty():
+                return
+        write_table(
+            fresh,
+            path,
+            partition_by=dates,
+            writer=writer,
+            batch_id=batch_id,
+            bucket_by=() if by_date else keys,
+            buckets=buckets,
+            found=found,
+        )
 
     return _each_batch(stream, path, checkpoint, write)
 
 
-def unseen(
-    fresh: DataFrame, table: DataFrame, keys: Sequence[str], broadcast_limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def unseen(fresh: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``fresh`` (one per key) whose key the table lacks; null keys equal null keys."""
     names = [f"_seen_{i}" for i in range(len(keys))]
     seen = table.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    if measured_bytes(fresh.select(*keys)) <= broadcast_limit:
-        # Find the batch's keys in the table where it lies, instead of shuffling the table.
-        fresh = pin(fresh)
-        asked = fresh.select(*[F.col(k).alias(f"_asked_{i}") for i, k in enumerate(keys)])
-        seen = seen.join(
-            F.broadcast(asked),
-            [seen[n].eqNullSafe(asked[f"_asked_{i}"]) for i, n in enumerate(names)],
-            "left_semi",
-        )
     return fresh.join(seen, [fresh[k].eqNullSafe(seen[n]) for k, n in zip(keys, names)], "left_anti")

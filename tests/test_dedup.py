@@ -171,3 +171,12 @@ def test_stored_strategies_agree(spark, feed, path):
     assert bronze["bytes_over_eager_percent"] == pytest.approx((bronze["bytes"] / eager["bytes"] - 1) * 100)
     assert eager["seconds_over_eager_percent"] == 0.0
     assert eager["input_rows_per_second"] == pytest.approx(1100 / eager["seconds"])
+
+
+def test_bronze_metrics_do_not_expand(spark, feed):
+    from millrace.operators.dedup import add_hashes, bronze_metrics
+    from millrace.plans.explain import operator_count
+
+    metrics = bronze_metrics(add_hashes(feed))
+    assert operator_count(metrics, "Expand") == 0
+    assert bronze_metrics(add_hashes(feed.limit(0))).first()["total_records"] == 0

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime
 import random
 
 import pytest
@@ -85,3 +86,33 @@ def test_quality_of_a_hot_partition(spark):
 def test_lossy_feed(events):
     lossy = message_feed(events, lose_every=97)
     assert lossy.select("sequence_id").distinct().count() == events.count() - 11
+
+
+def test_unknown_dates_are_not_lost(spark):
+    from millrace.operators.feed import dates_after, on_date
+
+    bronze = spark.sql("SELECT id, IF(id = 3, NULL, DATE '2024-01-01' + CAST(id AS INT)) AS partition_date FROM range(5)")
+    day = datetime.date(2024, 1, 2)
+    assert rows(dates_after(bronze, day), "id") == [(2,), (3,), (4,)]
+    assert rows(dates_after(bronze, day, unknown=False), "id") == [(2,), (4,)]
+    assert rows(on_date(bronze, None), "id") == [(3,)]
+    assert rows(on_date(bronze, day), "id") == [(1,)]
+
+
+def test_messages_are_told_by_message_id(spark):
+    from millrace.operators.feed import feed_quality
+
+    feed = spark.createDataFrame(
+        [("m", 1, 0, 0.0, 1.0, 1), ("m", 2, 0, 0.0, 1.0, 2), (None, 3, 0, None, 1.0, 3)],
+        "message_id string, sequence_id long, partition_id long, created_at double, arrival_ts double, arrival_index long",
+    )
+    assert rows(feed_quality(feed), "received", "unique_messages") == [(3, 2)]
+
+
+def test_picks_differ_beyond_31_bits(spark):
+    from millrace.functions.values import pick
+
+    far = spark.sql("SELECT id, id + 2147483647 AS other FROM range(200)")
+    picks = far.select(pick(F.col("id"), 1, 10**12).alias("a"), pick(F.col("other"), 1, 10**12).alias("b")).collect()
+    assert sum(r["a"] == r["b"] for r in picks) == 0
+    assert max(r["a"] for r in picks) > 2**33

@@ -104,7 +104,7 @@ def test_first_arrivals_to_table(spark, source, tmp_path):
         streams.first_arrival_stream(source.stream(spark), table, state)
         assert [r[0] for r in rows(read_table(spark, table), "arrival_index")] == [1, 2, 5]
     source.add(message("c", 0, 8), message("b", 0, 9))
-    streams.first_arrival_stream(source.stream(spark), table, state, broadcast_limit=0)
+    streams.first_arrival_stream(source.stream(spark), table, state)
     assert [r[0] for r in rows(read_table(spark, table), "arrival_index")] == [1, 2, 5, 8]
 
 
@@ -167,3 +167,27 @@ def test_arrival_stamps(spark, source, tmp_path):
     live = streams.with_arrival(source.stream(spark).drop("arrival_ts", "arrival_index"))
     streams.append_available(live, str(tmp_path / "out"), str(tmp_path / "state"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_equal_redeliveries_get_different_salts(spark, source, run):
+    for _ in range(12):
+        source.add(message("a", 0, 1))
+    salted = lambda stream: streams._with_salt(stream, ["message_id", "sequence_id", "partition_id"], 64)
+    seen = set()
+
+    def keep(batch, _):
+        seen.update(r[0] for r in batch.select(streams.SALT).collect())
+
+    query = salted(source.stream(spark)).writeStream.foreachBatch(keep).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert len(seen) > 4
+    assert run(streams.drop_seen)[1] == [1]
+
+
+def test_batches_without_news_commit_nothing(spark, source, tmp_path):
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    for key in ("a", "b", "a"):
+        source.add(message(key, 0, 1))
+    streams.first_arrival_stream(source.stream(spark), table, state)
+    assert rows(read_table(spark, table), "message_id") == [("a",), ("b",)]
+    assert history(spark, table).count() == 2

@@ -15,6 +15,7 @@ from millrace.operators.table import (
     current_version,
     drop_partitions,
     history,
+    merge_metrics,
     read_table,
     replace_partitions,
     table_size,
@@ -212,10 +213,10 @@ def test_plain_tables_have_no_partition_to_drop(spark, path):
 UP = "message_id string, created_at double, arrival_index long, value long"
 
 
-@pytest.mark.parametrize("shuffle_rows", [0, 10**9], ids=["in-place", "by-shuffle"])
-def test_upsert_rules(spark, path, shuffle_rows):
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_upsert_rules(spark, path, buckets):
     def put(*data):
-        return upsert(frame(spark, *data, schema=UP), path, shuffle_rows=shuffle_rows)
+        return upsert(frame(spark, *data, schema=UP), path, buckets=buckets)
 
     put(("a", 1.0, 1, 10), ("a", 2.0, 2, 11), ("b", 5.0, 3, 20), (None, 1.0, 4, 30), ("d", None, 5, 40))
     assert rows(read_table(spark, path), "message_id", "value") == [
@@ -231,36 +232,63 @@ def test_upsert_rules(spark, path, shuffle_rows):
     )
     expected = [(None, 31), ("a", 12), ("b", 20), ("c", 50), ("d", 41)]
     assert rows(read_table(spark, path), "message_id", "value") == expected
-    assert rows(history(spark, path), "operation", "rows") == [("upsert", 4), ("upsert", 5)]
+    assert rows(merge_metrics(spark, path)) == [(0, 5, 0, 4, 1), (1, 6, 4, 5, 5)]
+    assert rows(read_table(spark, path, 0), "message_id", "value")[1] == ("a", 11)
 
 
-@pytest.mark.parametrize("shuffle_rows", [0, 10**9], ids=["in-place", "by-shuffle"])
-def test_repeated_upsert_changes_nothing(spark, path, feed, shuffle_rows):
+def test_repeated_upsert_changes_nothing(spark, path, feed):
     columns = ["message_id", "arrival_index", "value"]
     halves = [feed.filter("arrival_index < 900"), feed.filter("arrival_index >= 900")]
     for half in halves:
-        upsert(half, path, shuffle_rows=shuffle_rows)
+        upsert(half, path)
     once = rows(read_table(spark, path), *columns)
     assert len(once) == 1000
     for half in halves:
-        upsert(half, path, shuffle_rows=shuffle_rows)
+        upsert(half, path)
     assert rows(read_table(spark, path), *columns) == once
 
 
 def test_upsert_over_appended_duplicates_makes_keys_unique(spark, path):
     upsert(frame(spark, ("a", 1.0, 1, 1), schema=UP), path)
     write_table(frame(spark, ("a", 2.0, 2, 2), schema=UP), path)
-    upsert(frame(spark, ("b", 1.0, 3, 3), schema=UP), path, shuffle_rows=0)
+    upsert(frame(spark, ("b", 1.0, 3, 3), schema=UP), path)
     assert rows(read_table(spark, path), "message_id", "value") == [("a", 2), ("b", 3)]
 
 
-def test_small_batch_does_not_shuffle_the_table(spark, path, feed):
+def test_upsert_leaves_other_buckets_alone(spark, path):
+    upsert(frame(spark, *[(str(i), 1.0, i, i) for i in range(200)], schema=UP), path, buckets=20)
+    before = set(files_below(f"{path}/data"))
+    upsert(frame(spark, ("7", 2.0, 900, -7), schema=UP), path)
+    fresh = set(files_below(f"{path}/data")) - before
+    assert before < set(files_below(f"{path}/data")) and len({os.path.dirname(f) for f in fresh}) == 1
+    assert rows(history(spark, path).filter("version = 1"), "rows")[0][0] < 60
+    found = dict(rows(read_table(spark, path), "message_id", "value"))
+    assert len(found) == 200 and found["7"] == -7 and found["8"] == 8
+    assert table_size(spark, path).first()["live_files"] == len(before)
+
+
+def test_empty_upsert_writes_nothing(spark, path):
+    upsert(frame(spark, ("a", 1.0, 1, 1), schema=UP), path)
+    before = files_below(path)
+    assert upsert(frame(spark, schema=UP), path) == 0
+    assert files_below(path) == before
+
+
+def test_upsert_shuffles_the_batch_once(spark, path, feed, monkeypatch):
     upsert(feed, path)
-    stored = read_table(spark, path)
-    batch = spark.createDataFrame(feed.limit(5).collect(), feed.schema)
-    merged = table._merge_small_batch(stored, batch, ["message_id"], ["created_at", "arrival_index"])
-    plan = plan_text(merged, "simple")
-    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    plans = []
+    commit = table._commit
+    monkeypatch.setattr(table, "_commit", lambda *a, **k: plans.append(plan_text(a[3], "simple")) or commit(*a, **k))
+    upsert(feed.limit(5), path)
+    assert plans[0].count("Exchange hashpartitioning") == 1
+
+
+def test_upsert_into_plain_and_partitioned_tables(spark, tmp_path):
+    for name, parts in (("plain", None), ("parted", ["value"])):
+        path = str(tmp_path / name)
+        write_table(frame(spark, ("a", 1.0, 1, 1), ("a", 2.0, 2, 2), schema=UP), path, partition_by=parts)
+        upsert(frame(spark, ("b", 1.0, 3, 3), schema=UP), path)
+        assert rows(read_table(spark, path), "message_id", "value") == [("a", 2), ("b", 3)]
 
 
 def test_upsert_refuses_other_schema(spark, path):
@@ -269,9 +297,54 @@ def test_upsert_refuses_other_schema(spark, path):
         upsert(frame(spark, ("a", 1.0, 1, "x"), schema=UP.replace("value long", "value string")), path)
 
 
-def test_second_writer_of_a_version_fails(spark, path):
+def test_second_writer_fails_and_the_first_ones_rows_stay(spark, path):
     write_table(frame(spark, (1, "a", 1)), path)
     stale = table.snapshot(spark, path)
     write_table(frame(spark, (2, "b", 2)), path)
-    with pytest.raises(Exception, match="already exists"):
-        table._commit(spark, path, "append", None, stale, stale.schema)
+    with pytest.raises(FileExistsError, match="already exists"):
+        write_table(frame(spark, (3, "c", 3)), path, found=stale)
+    assert rows(read_table(spark, path), "id") == [(1,), (2,)]
+    write_table(frame(spark, (4, "d", 4)), path)
+    assert rows(read_table(spark, path), "id") == [(1,), (2,), (4,)]
+
+
+def test_leftovers_of_a_crash_stop_nobody(spark, path):
+    write_table(frame(spark, (1, "a", 1)), path)
+    segment = os.path.join(path, "ledger", os.listdir(f"{path}/ledger")[0])
+    with open(f"{segment}/.half-written", "w") as left:
+        left.write('{"version": 1')
+    os.makedirs(f"{path}/data/commit=1-dead/_temporary/0")
+    assert write_table(frame(spark, (2, "b", 2)), path) == 1
+    assert rows(read_table(spark, path), "id") == [(1,), (2,)]
+
+
+def test_many_commits_stay_bounded(spark, path):
+    for i in range(40):
+        write_table(frame(spark, (i, "p", i)), path, fold_commits=6)
+    found = table.snapshot(spark, path)
+    assert len(found.live) <= 3 * 6 and found.total_rows == 40
+    assert rows(read_table(spark, path), "id") == [(i,) for i in sorted(range(40), key=str)]
+    assert history(spark, path).filter("operation = 'fold'").count() >= 6
+
+
+def test_hidden_values_stay_bounded(spark, path):
+    write_table(frame(spark, (1, "a", 1), (2, "b", 2)), path, partition_by=["part"])
+    for i in range(5):
+        replace_partitions(frame(spark, (1, "a", i)), path)
+    assert table.snapshot(spark, path).hidden == {"a": 5}
+    assert rows(read_table(spark, path)) == [(1, "a", 4), (2, "b", 2)]
+    compact(spark, path)
+    assert table.snapshot(spark, path).hidden == {}
+    assert rows(read_table(spark, path)) == [(1, "a", 4), (2, "b", 2)]
+
+
+def test_empty_text_is_no_partition(spark, path):
+    with pytest.raises(Exception, match="empty text in partition column part"):
+        write_table(frame(spark, (1, "", 1)), path, partition_by=["part"])
+    assert current_version(spark, path) is None
+    write_table(frame(spark, (1, "a", 1)), path, partition_by=["part"])
+    with pytest.raises(Exception, match="empty text"):
+        replace_partitions(frame(spark, (1, "", 1)), path)
+    with pytest.raises(ValueError, match="empty text"):
+        drop_partitions(spark, path, [""])
+    assert rows(read_table(spark, path)) == [(1, "a", 1)]
