@@ -125,7 +125,7 @@ def test_replayed_batch_is_not_written_twice(spark, source, tmp_path):
     writes = []
     stream = source.stream(spark)
 
-    def write(batch, writer, batch_id):
+    def write(batch, writer, batch_id, found):
         writes.append(batch_id)
         streams.write_table(batch, table, writer=writer, batch_id=batch_id)
 
