@@ -180,7 +180,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int
     asked = queries.select(*columns).where(F.col("vec_id").isNotNull() & usable(F.col("v"))).groupBy("vec_id").agg(F.min("v").alias("v"))
     shards = max(1, -(-base.count() // shard_rows))
     base = base.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(0).alias("role"), "vec_id", "v")
-    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"), F.lit(1).alias("role"), "vec_id", "v")
+    asked = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("role"), "vec_id", "v")
     # A shard holds about ``shard_rows`` vectors, whatever their values are.
     dealt = base.unionByName(asked).select(F.size("v").alias("length"), "*")
     dealt = dealt.repartition("length", "shard").sortWithinPartitions("length", "shard", "role", "vec_id")
