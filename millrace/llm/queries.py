@@ -100,7 +100,35 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
 """
 
+NEAR_DUPLICATE_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_n
+    FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM pairs JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+    WHERE 100 * both_n >= 85 * (p.n + q.n - both_n)
+), either AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, y FROM reached r JOIN either ON r.other = x
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id, d.doc_id = least_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS least_id FROM reached GROUP BY doc_id) r ON d.doc_id = r.doc_id
+"""
+
 LLM_ORACLES = {
     "op2_decontamination": DECONTAMINATION_SQL,
+    "op8_minhash_near_dedup": NEAR_DUPLICATE_SQL,
     "op10_source_mixing": mixing.MIX_SQL,
 }
