@@ -16,6 +16,10 @@ def measured_bytes(df: DataFrame) -> int:
     for field in df.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            # As text a number takes up to two bytes or more per stored one, an element 16 at most besides.
+            text = F.to_json(F.struct(F.col(f"`{field.name}`")), {"ignoreNullFields": "false"})
+            width = width + 9 * F.coalesce(F.octet_length(text), F.lit(0))
         width = width + _FIXED_WIDTH
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 

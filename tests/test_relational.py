@@ -156,3 +156,8 @@ def test_broadcast_only_when_measured_small(spark):
     assert measured_bytes(df) == 1000 * 116
     assert "broadcast" in plan_text(broadcast_if_small(df, 200_000), "extended")
     assert "broadcast" not in plan_text(broadcast_if_small(df, 100_000), "extended")
+
+
+def test_nested_columns_are_measured(spark):
+    df = spark.range(100).select(F.array_repeat(F.col("id"), 500).alias("many"), F.struct("id").alias("one"))
+    assert measured_bytes(df) > 100 * 500 * 8
