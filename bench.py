@@ -15,7 +15,9 @@ import time
 from pyspark.sql import functions as F
 
 from millrace import build_session, scratch_path
+from millrace.session import clear_scratch
 from millrace.functions.keys import epoch_seconds
+from millrace.operators.table import upsert
 from millrace.operators.writes import write_parquet
 from millrace.plans.compare import compare_strategies, read_all
 from millrace.plans.queries import QUERIES
@@ -50,6 +52,9 @@ HEADLINE = [
     "strategy_comparison",
     "stream_dedup",
     "stream_upsert",
+    "upsert_older_loses",
+    "strategy_storage",
+    "csv_header_to_table",
 ]
 
 
@@ -117,6 +122,22 @@ def main() -> None:
             }
             for name, row in measured[0].items()
         }
+    upserts = {}
+    for source, rows in feeds.items():
+        # A tenth of the messages merged into a table that holds the others; filling it isn't timed.
+        late = F.pmod(F.xxhash64("message_id"), F.lit(10)) == 0
+        old = write_parquet(rows.filter(~late).repartition(int(cpus)), scratch_path(spark, "bench-old"))
+        new = write_parquet(rows.filter(late).repartition(int(cpus)), scratch_path(spark, "bench-new"))
+        taken = []
+        for _ in range(runs + 1):
+            path = scratch_path(spark, "bench-upsert")
+            upsert(spark.read.parquet(old), path)
+            start = time.perf_counter()
+            upsert(spark.read.parquet(new), path)
+            taken.append(time.perf_counter() - start)
+        count = spark.read.parquet(new).count()
+        upserts[source] = {"seconds": round(t := statistics.median(taken[1:]), 3), "batch_rows": count, "batch_rows_per_second": round(count / t)}
+    clear_scratch(spark)
     print(
         json.dumps(
             {
@@ -127,6 +148,7 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
                 "strategies": strategies,
+                "upsert_into_filled_table": upserts,
             }
         )
     )

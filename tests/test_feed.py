@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 import random
 
 import pytest
@@ -39,9 +40,9 @@ def test_equal_neighbours_are_in_order(spark):
     assert rows(ops.out_of_order(df)) == [(0, 3, 0, False)]
 
 
-def test_known_inversions(spark):
+def test_known_inversions(spark, sf_dir):
     # 332, 312 and 349 steps back were counted independently at this scale.
-    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    events = spark.read.parquet(f"{os.path.dirname(sf_dir.rstrip('/'))}/sf0.01/events.parquet")
     found = rows(ops.out_of_order(message_feed(events), 500), "partition_id", "steps_back")
     assert found == [(0, 332), (1, 312), (2, 349)]
 
