@@ -100,6 +100,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
 """
 
+# Bytes as hex digits; texts in pieces, so that cutting windows stays linear in their length.
+REPEAT_SQL = """
+WITH texts AS (
+    SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), pieces AS (
+    SELECT r, base, substring(h, 2 * base + 1, 1822) AS piece
+    FROM (SELECT r, h, unnest(range(0, greatest(strlen(h) // 2 - 399, 0), 512)) AS base FROM texts)
+), windows AS (
+    SELECT r, base + i AS i, md5(substring(piece, 2 * i + 1, 800)) AS m
+    FROM (SELECT r, base, piece, unnest(range(0, strlen(piece) // 2 - 399)) AS i FROM pieces)
+), repeated AS (
+    SELECT r, i FROM windows WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)
+), marked AS (
+    SELECT r, i, sum(CASE WHEN i - before <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS island
+    FROM (SELECT r, i, lag(i, 1, -1000) OVER (PARTITION BY r ORDER BY i) AS before FROM repeated)
+), spans AS (
+    SELECT r, min(i) AS low, max(i) + 400 AS high FROM marked GROUP BY r, island
+), gaps AS (
+    SELECT r, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS low, low AS high FROM spans
+    UNION ALL SELECT r, max(high), NULL FROM spans GROUP BY r
+), kept AS (
+    SELECT g.r, string_agg(substring(h, 2 * g.low + 1, coalesce(2 * (g.high - g.low), strlen(h))), '' ORDER BY g.low) AS h
+    FROM gaps g JOIN texts USING (r) GROUP BY g.r
+), sums AS (
+    SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, (strlen(t.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN sums USING (r) LEFT JOIN kept k USING (r)
+"""
+
 NEAR_DUPLICATE_SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -129,6 +160,7 @@ JOIN (SELECT doc_id, min(other) AS least_id FROM reached GROUP BY doc_id) r ON d
 
 LLM_ORACLES = {
     "op2_decontamination": DECONTAMINATION_SQL,
+    "op5_suffix_dedup": REPEAT_SQL,
     "op8_minhash_near_dedup": NEAR_DUPLICATE_SQL,
     "op10_source_mixing": mixing.MIX_SQL,
 }
