@@ -259,11 +259,13 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, window: int = WIN
 
     # Runs over equal bytes; one of each stays to witness for the open ones.
     same = ["key", "digest", "n"]
+    # Stored, so that both sides of the next join are plain shuffles and Spark can split a frequent run.
     kinds = candidates.groupBy(*same).agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "mark", "start")).alias("witness"))
+    kinds = stored(kinds, "kinds")
     known = stored(candidates.join(kinds, same), "known")
     whole = known.where("copies > 1").select("doc_id", "mark", "start", "n")
 
-    lone = known.where("copies = 1").groupBy("key").agg(F.count("*").alias("open"))
+    lone = stored(known.where("copies = 1").groupBy("key").agg(F.count("*").alias("open")), "lone")
     witness = F.struct("doc_id", "mark", "start").eqNullSafe(F.col("witness"))
     asked = known.where((F.col("copies") == 1) | witness).join(lone, "key")
     asked = asked.dropDuplicates([*same, "doc_id", "mark", "start"])
