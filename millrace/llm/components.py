@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from millrace.session import scratch_path
 
 
-def _stored(edges: DataFrame) -> DataFrame:
-    path = scratch_path(edges.sparkSession, "edges")
-    edges.write.parquet(path)
-    return edges.sparkSession.read.schema("a long, b long").parquet(path)
+def _stored(rows: DataFrame) -> DataFrame:
+    path = scratch_path(rows.sparkSession, "edges")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component``: the smallest node that each node of the links reaches.
 
     ``links`` has long columns ``a`` and ``b``. Each round is two groupings and joins over the links that are
-    left; their number falls to one per node. A node with very many links is combined before each shuffle,
-    and its join is a skew join that Spark splits. Rounds are stored in the shared folder, so a lost executor
+    left; their number falls to one per node. A node with very many links is combined before each shuffle;
+    both sides of each join are stored tables, so that Spark can split such a node. Rounds are stored in the shared folder, so a lost executor
     costs no earlier round. Only the number of changed links reaches the driver.
     """
     edges = _stored(
@@ -29,8 +29,9 @@ def components(links: DataFrame) -> DataFrame:
         # Large star: each node hands its larger neighbours to the smallest of itself and its neighbours.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low"))
+        least = _stored(least)
         large = both.join(least, F.col("a") == F.col("node")).where(F.col("b") > F.col("a"))
-        large = large.select(F.col("b").alias("a"), F.col("low").alias("b")).where(F.col("a") > F.col("b")).distinct()
+        large = _stored(large.select(F.col("b").alias("a"), F.col("low").alias("b")).where(F.col("a") > F.col("b")).distinct())
         # Small star: each node and its smaller neighbours go to the smallest of them.
         small = large.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "node")
         moved = large.join(small, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("low").alias("b"))

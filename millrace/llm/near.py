@@ -25,7 +25,7 @@ from millrace.session import scratch_path
 #: Chance that no tree brings a pair at the threshold together, and that its signatures disagree too much.
 MISSED = 1e-6
 #: Sets in a block of a region, and shingles in a block of a cluster.
-REGION_BLOCK = 1_500
+REGION_BLOCK = 600
 CLUSTER_BLOCK = 1_500_000
 
 _GROUP = "region long, i int, j int, block int"
@@ -229,7 +229,8 @@ def near_duplicates(documents: DataFrame, size: int = 5, part: int = 80, whole:
     named = sets.where(F.col("node").isNotNull())
 
     keyed = named.select("node", F.explode("keys").alias("region"))
-    shared = keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1)
+    # Stored, so that both sides of the next join are plain shuffles and Spark can split a large region.
+    shared = stored(keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1), "regions")
     placed = keyed.join(shared, "region").join(named.select("node", "signature"), "node")
     dealt = _blocked(placed, F.ceil(F.col("members") / REGION_BLOCK).cast("int"))
     dealt = dealt.select("region", "i", "j", "block", "node", "signature").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "node")
