@@ -1,14 +1,15 @@
 """Secret scan with multipart credential linking, with DataFrame functions only.
 
 Base patterns are found on their own. Weak parts (short access identifiers, secret-like strings, endpoints)
-are reported only where a part of another role starts within the same scope: :data:`SCOPE` code points.
-Linking is an interval join over the parts of one text, sorted by start. Matches of one kind don't overlap and
-have a least length, so only a bounded number of parts can start within a scope; the join looks at exactly
-those neighbours, and no text or part is shuffled.
+are reported only where at most :data:`SCOPE` code points lie between them and a part of another role.
+Linking is an interval join over the parts of one text, sorted by start: one pass in each direction carries
+the nearest end or start of each role, so it is exact for parts of any length, and no text or part is shuffled.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +19,17 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{16,}", 20, 0, "access"),
     ("hex", r"[0-9a-f]{24,}", 24, 0, "secret"),
 )
+#: A string of the form of an access identifier is not a weak secret too, else it would be its own company.
+_ACCESS = r"(?:AKIA|ASIA|AGPA|AIDA|AROA)[A-Z0-9]{8,}+={0,2}(?![A-Za-z0-9+/=])"
 WEAK = (
-    ("weak_access", r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AGPA|AIDA|AROA)[A-Z0-9]{8,15}(?![A-Za-z0-9])", 12, 0, "access"),
-    ("weak_secret", r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{16,64}={0,2}(?![A-Za-z0-9+/=])", 16, 0, "secret"),
+    ("weak_access", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{8,15}|(?:ASIA|AGPA|AIDA|AROA)[A-Z0-9]{8,}+)(?![A-Za-z0-9])", 12, 0, "access"),
+    ("weak_secret", rf"(?<![A-Za-z0-9+/=])(?!{_ACCESS})(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{{16,}}+={{0,2}}(?![A-Za-z0-9+/=])", 16, 0, "secret"),
     ("weak_endpoint", r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@%&=+-]{4,}", 8, 0, "endpoint"),
 )
 KINDS = BASE + WEAK
+ROLES = sorted({role for *_, role in KINDS})
 SCOPE = 240
 
-#: Parts of all kinds that can start within a scope on one side.
-NEIGHBOURS = sum(SCOPE // min(least, 8) + 1 for _, _, least, _, _ in KINDS)
-
 PART = "struct<start: int, rank: int, kind: string, end: int, role: string, base: boolean>"
 
 #: Plain strings without which a kind can't occur; a quick test before the pattern.
@@ -82,17 +83,31 @@ def secret_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(_found(text, rank) for rank in range(len(KINDS)))))
 
 
-def linked(parts: Column) -> Column:
-    """The base parts, and the weak ones near a part of another role."""
+def _met(parts: Column, backwards: bool = False) -> Column:
+    """Per part, whether one of another role that comes earlier (later if ``backwards``) lies within the scope."""
+    gap = (lambda part, seen: seen - part["end"]) if backwards else (lambda part, seen: part["start"] - seen)
+    furthest, edge = (F.least, "start") if backwards else (F.greatest, "end")
 
-    def near(part, place):
-        low = F.greatest(place - NEIGHBOURS, F.lit(0))
-        return F.exists(
-            F.slice(parts, low + 1, F.lit(2 * NEIGHBOURS + 1)),
-            lambda other: (other["role"] != part["role"]) & (F.abs(other["start"] - part["start"]) <= SCOPE),
+    def step(done, part):
+        hits = [(part["role"] != role) & (gap(part, done[role]) <= SCOPE) for role in ROLES]
+        hit = F.array(F.coalesce(functools.reduce(lambda a, b: a | b, hits), F.lit(False)))
+        return F.struct(
+            *(F.when(part["role"] == role, furthest(done[role], part[edge])).otherwise(done[role]).alias(role) for role in ROLES),
+            (F.concat(hit, done["met"]) if backwards else F.concat(done["met"], hit)).alias("met"),
         )
 
-    return F.filter(parts, lambda part, place: part["base"] | near(part, place))
+    none = F.lit(None).cast("int")
+    begin = F.struct(*(none.alias(role) for role in ROLES), F.expr("CAST(array() AS array<boolean>)").alias("met"))
+    return F.aggregate(F.reverse(parts) if backwards else parts, begin, step, lambda done: done["met"])
+
+
+def linked(parts: Column) -> Column:
+    """The base parts, and the weak ones near a part of another role; ``parts`` are sorted by start."""
+    near = F.zip_with(_met(parts), _met(parts, backwards=True), lambda a, b: a | b)
+    found = F.filter(F.zip_with(parts, near, lambda part, n: F.when(part["base"] | n, part)), lambda part: part.isNotNull())
+    base = F.filter(parts, lambda part: part["base"])
+    mixed = F.exists(parts, lambda part: ~part["base"]) & F.exists(parts, lambda part: part["role"] != parts[0]["role"])
+    return F.when(mixed, found).otherwise(base)
 
 
 def with_secrets(documents: DataFrame) -> DataFrame:
