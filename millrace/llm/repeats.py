@@ -8,9 +8,9 @@ sorted by fingerprint; a new array is merge-scanned with the levels there are, a
 the next, so that each suffix is rewritten a logarithmic number of times. Cores met once end here.
 
 Windows that follow one another with one anchor form a run. Runs over equal bytes are repeated as a whole. What is
-left are the runs at the edges of long matches: their bytes meet by core, and their windows are compared there. A
-core with very many such runs is dealt to several tasks, whose distinct windows are then counted together. No
-step holds all runs of a core in one task.
+left are the runs at the edges of long matches: their bytes meet by core, together with one witness of each kind of
+equal runs there, and their windows are compared. A core with very many open runs and witnesses is dealt to several
+tasks, whose distinct windows are then counted together. No step holds all runs of a core in one task.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ LENGTH = 400
 WINDOW = 180
 #: Batches that the documents are indexed in.
 BATCHES = 2
-#: Open runs of a core in one task.
+#: Open runs and witnesses of a core in one task, on average.
 GROUP_RUNS = 4_000
 
 #: Bytes in one vectorised step over a long text; positions take 24 bits of a packed word.
@@ -265,11 +265,13 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, window: int = WIN
     known = stored(candidates.join(kinds, same), "known")
     whole = known.where("copies > 1").select("doc_id", "mark", "start", "n")
 
-    lone = stored(known.where("copies = 1").groupBy("key").agg(F.count("*").alias("open")), "lone")
+    # Each kind sends one row: its open run or its witness.
+    lone = kinds.groupBy("key").agg(F.count("*").alias("dealt"), F.min("copies").alias("fewest"))
+    lone = stored(lone.where("fewest = 1").select("key", "dealt"), "lone")
     witness = F.struct("doc_id", "mark", "start").eqNullSafe(F.col("witness"))
     asked = known.where((F.col("copies") == 1) | witness).join(lone, "key")
     asked = asked.dropDuplicates([*same, "doc_id", "mark", "start"])
-    run = F.struct("key", "open", "start", "n", (F.col("copies") == 1).alias("own"))
+    run = F.struct("key", "dealt", "start", "n", (F.col("copies") == 1).alias("own"))
     asked = stored(asked.groupBy("doc_id", "mark").agg(F.collect_list(run).alias("runs")), "asked")
     joined = documents.select(F.col("doc_id").alias("text_id"), "text").join(
         asked.where("mark >= 0"), F.col("text_id").eqNullSafe(F.col("doc_id")) & (F.crc32(F.col("text").cast("binary")) == F.col("mark"))
@@ -282,7 +284,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, window: int = WIN
             for doc_id, mark, text, own in zip(*columns, strict=True):
                 data = text.encode()
                 for r in own:
-                    salts = -(-r["open"] // GROUP_RUNS)
+                    salts = -(-r["dealt"] // GROUP_RUNS)
                     salt = zlib.crc32(f"{doc_id} {mark} {r['start']}".encode()) % salts
                     out.append((r["key"], salt, salts, doc_id, mark, r["start"], r["n"], r["own"], data[r["start"] : r["start"] + r["n"] + length - 1]))
                 if len(out) > 20_000:

@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,6 +276,34 @@ def test_repeats_equal_brute_force(spark, monkeypatch, group):
     assert found == expected and sum(e[1] > 0 for e in expected.values()) > 20
 
 
+def test_witnesses_are_dealt_too(spark, monkeypatch, tmp_path):
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = letters(390)
+    copied = [letters(300) + passage + letters(300) for _ in range(80)]
+    texts = [*copied, *copied, letters(300) + passage + letters(300), copied[0][:450] + letters(200)]
+    opened = repeats._open_windows
+
+    def watched(batches, length):
+        sizes = {}
+
+        def seen():
+            for batch in batches:
+                for group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    sizes[group] = sizes.get(group, 0) + 1
+                yield batch
+
+        yield from opened(seen(), length)
+        (tmp_path / uuid.uuid4().hex).write_text("\n".join(map(str, sizes.values())))
+
+    monkeypatch.setattr(repeats, "GROUP_RUNS", 4)
+    monkeypatch.setattr(repeats, "_open_windows", watched)
+    found = by_id(repeats.repeat_report(documents(spark, texts)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert found == dict(enumerate(repeats.brute_force(texts)))
+    sizes = [int(n) for f in tmp_path.iterdir() for n in f.read_text().split()]
+    assert sum(sizes) > 80 and max(sizes) <= 20
+
+
 def test_levels_merge_geometrically(spark):
     entries = lambda *keys: spark.createDataFrame([(k,) for k in keys], "key long")
     family = repeats.SuffixLevels(spark)
