@@ -3,7 +3,8 @@
 The standard library's parser streams its events into lines, one per block element. A line's ratio is its
 characters per tag. Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments
 count as ratio 0. The ratios are smoothed along the page; lines above a share of their standard deviation
-are the content cluster, and the content regions are the containers that hold it.
+are the content cluster. The content regions are the article and main elements that hold some of it; on a page
+without such an element they are the whole page, since a threshold would drop short blocks of the article.
 """
 
 from __future__ import annotations
@@ -140,7 +141,8 @@ def main_text(html: str | None) -> str:
     ratios = chars / np.array([max(1, tags) for _, tags, _, _ in lines], float)
     smooth = smoothed(ratios)
     content = (smooth >= THRESHOLD * smooth.std()) & (chars > 0)
-    # An article or main element is a region as a whole; else the container of the cluster's lines is.
+    # An article or main element that holds part of the cluster is a region as a whole. On a page without one no
+    # container is known to end the content, and all lines that aren't beside it stay.
     top = []
     for _, _, _, region in lines:
         outer = at = region
@@ -149,14 +151,8 @@ def main_text(html: str | None) -> str:
                 outer = at
             at = page.parents[at]
         top.append(outer)
-    weight: dict[int, float] = {}
-    for k in np.flatnonzero(content):
-        weight[top[k]] = weight.get(top[k], 0.0) + chars[k]
-    whole = {r for r in weight if page.kinds[r] in ("article", "main")}
-    if whole:
-        chosen = [k for k, r in enumerate(top) if r in whole and not lines[k][2]]
-    else:
-        chosen = [k for k, r in enumerate(top) if r in weight and not lines[k][2]]
+    whole = {top[k] for k in np.flatnonzero(content) if page.kinds[top[k]] in ("article", "main")}
+    chosen = [k for k, r in enumerate(top) if not lines[k][2] and (not whole or r in whole)]
     return " ".join(lines[k][0] for k in chosen)
 
 

@@ -245,6 +245,24 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+LONG = "Long words of the article. " * 100
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div>{LONG}</div>" + "".join(f"<div>Block {i} of sixty characters, give or take a few of them.</div>" for i in range(30)),
+        f"<section><h2>One</h2><p>{LONG}</p>" + "<p>Short.</p>" * 6 + "</section><section><h2>Two</h2><p>Brief.</p></section>" * 3,
+        f"<div><p>{LONG}</p>" + "<p>Short.</p>" * 6 + "</div><table><tr><td>cell a</td><td>cell b</td></tr><tr><td>c</td><td>d</td></tr></table>",
+        f"<p>{LONG}</p>" + "<blockquote><p>A quote.</p></blockquote><ul><li>x</li><li>y</li></ul>" * 5,
+    ],
+)
+@pytest.mark.parametrize("wrap", ["{}", "<div id=wrap>{}</div>"])
+def test_pages_without_article_keep_their_blocks(body, wrap):
+    page = f"<html><head><title>t</title></head><body><nav>Home</nav>{wrap.format(body)}<div class=sidebar>{LONG}</div><footer>F</footer></body></html>"
+    assert html.main_text(page) == " ".join(re.sub("<[^>]*>", " ", body).split())
+
+
 def test_page_rows(spark):
     rows = [(1, "u", "<article><p>é x</p></article>"), (2, None, None), (2, None, None), (None, "v", "<p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
