@@ -306,7 +306,7 @@ def stored_size(spark: SparkSession, sf: str) -> DataFrame:
     """Files and bytes of the customers' names as text lines, one file per segment."""
     path = scratch_path(spark, "lines")
     names = _table(spark, sf, "customer").select("c_mktsegment", F.col("c_name").alias("value"))
-    names.repartition(1, "c_mktsegment").write.partitionBy("c_mktsegment").text(path)
+    names.repartition("c_mktsegment").write.partitionBy("c_mktsegment").text(path)
     stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).load(path)
     return dataset_size(stored.select("path", "length"))
 
@@ -317,10 +317,14 @@ def stored_size(spark: SparkSession, sf: str) -> DataFrame:
     FROM customer, (VALUES ('flat'), ('partitioned')) AS layouts(layout) GROUP BY layout"""
 )
 def layout_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of a flat and of a partitioned layout, one file per folder."""
-    customers = _table(spark, sf, "customer").coalesce(1)
-    compared = compare.compare_layouts(customers, scratch_path(spark, "layouts"), "c_mktsegment", "BUILDING")
-    return compared.select("layout", F.col("files").alias("folders"), "rows_read", (F.col("bytes") > 0).alias("has_bytes"))
+    """Folders of a flat and of a partitioned layout, written in parallel."""
+    path = scratch_path(spark, "layouts")
+    compared = compare.compare_layouts(_table(spark, sf, "customer"), path, "c_mktsegment", "BUILDING")
+    stored = dataset_files(spark, f"{path}/flat", f"{path}/partitioned")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    layout = F.regexp_extract("path", r"/(flat|partitioned)/(?:c_mktsegment=[^/]*/)?[^/]*$", 1)
+    folders = stored.groupBy(layout.alias("layout")).agg(F.countDistinct(folder).alias("folders"))
+    return compared.join(folders, "layout").select("layout", "folders", "rows_read", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @registered(

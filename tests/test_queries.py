@@ -45,3 +45,23 @@ def test_entry_has_rows(spark):
     flagship = contract.entry(spark)
     assert not flagship.isEmpty()
     assert {"composite_hash", "payload_hash", "partition_date"} <= set(flagship.columns)
+
+
+def test_layout_queries_write_in_parallel(spark, sf_dir, duck, monkeypatch):
+    from millrace.plans import compare, queries
+
+    parts, names = [], []
+    layouts, size = compare.compare_layouts, queries.dataset_size
+    monkeypatch.setattr(compare, "compare_layouts", lambda df, *rest: parts.append(df.rdd.getNumPartitions()) or layouts(df, *rest))
+    monkeypatch.setattr(queries, "dataset_size", lambda files: names.extend(r["path"].split("/")[-1][:10] for r in files.collect()) or size(files))
+    settings = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for name in ("layout_files", "stored_size"):
+            test_query_matches_sql(spark, sf_dir, duck, name)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert parts[0] > 1 and len(set(names)) > 1
