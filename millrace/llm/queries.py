@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, html, mixing, near, neighbours, quality, repeats, secrets, tokens, toxicity
+from millrace.llm import (
+    collocations,
+    decontaminate,
+    html,
+    mixing,
+    near,
+    neighbours,
+    notices,
+    quality,
+    ranking,
+    repeats,
+    secrets,
+    tokens,
+    toxicity,
+)
 
 #: The vocabulary of the token counts; a name in the installed folder of public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,6 +72,18 @@ def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"))
 
 
+def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices.report(_read(spark, sf_dir, "documents"))
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def _collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_quality_classifier": _quality,
     "op2_decontamination": _contamination,
@@ -69,6 +95,9 @@ LLM_QUERIES = {
     "op8_minhash_near_dedup": _near_duplicates,
     "op9_nearest_neighbours": _nearest,
     "op10_source_mixing": _mix,
+    "op11_license_scan": _licenses,
+    "op12_lexical_search": _ranked,
+    "op13_collocations": _collocations,
 }
 
 DECONTAMINATION_SQL = r"""
@@ -163,4 +192,7 @@ LLM_ORACLES = {
     "op5_suffix_dedup": REPEAT_SQL,
     "op8_minhash_near_dedup": NEAR_DUPLICATE_SQL,
     "op10_source_mixing": mixing.MIX_SQL,
+    "op11_license_scan": notices.LICENSE_SQL,
+    "op12_lexical_search": ranking.RANKED_SQL,
+    "op13_collocations": collocations.COLLOCATION_SQL,
 }

@@ -17,8 +17,9 @@ STEP_ROWS = 1024
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-_LOWERED = np.arange(256, dtype=np.uint8)
-_LOWERED[65:91] += 32
+#: Bytes with A-Z lower-cased.
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BYTE_CODES = np.random.default_rng(20240611).integers(1, 2**63, 256, dtype=np.uint64)
@@ -80,7 +81,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """
     if not len(data):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    data = _LOWERED[data]
+    data = LOWERED[data]
     inside = ~_IS_SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
