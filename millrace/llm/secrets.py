@@ -1,14 +1,19 @@
 """Secret scan with multipart credential linking, with DataFrame functions only.
 
 Base patterns are found on their own. Weak parts (short access identifiers, secret-like strings, endpoints)
-are reported only where at most :data:`SCOPE` code points lie between them and a part of another role.
-Linking is an interval join over the parts of one text, sorted by start: one pass in each direction carries
-the nearest end or start of each role, so it is exact for parts of any length, and no text or part is shuffled.
+are reported only where a part of another role lies beside them, with at most :data:`SCOPE` code points between the two;
+parts that overlap are no company for each other. What stands inside an endpoint is no weak secret, but for the
+password before its host.
+
+Linking is an interval join over the parts of one text: the ends (starts) of parts and the places that look for one are
+sorted together and cut into blocks; a place finds its match in its own block, or the nearest of each role that earlier
+blocks carry over. It is exact for parts of any length and number, and no text or part is shuffled.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +26,20 @@ BASE = (
 )
 #: A string of the form of an access identifier is not a weak secret too, else it would be its own company.
 _ACCESS = r"(?:AKIA|ASIA|AGPA|AIDA|AROA)[A-Z0-9]{8,}+={0,2}(?![A-Za-z0-9+/=])"
+_SCHEME = r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis|amqp)://"
+_PLACE = r"[A-Za-z0-9._~:/?#@%&=+-]{4,}+"
+#: What a secret is not looked for in: an endpoint as a whole, or around the password that stands before its host.
+_PASSED = rf"{_SCHEME}[A-Za-z0-9._~%+-]*+:(?=[A-Za-z0-9._~/%&=+-]++@)|{_SCHEME}{_PLACE}|(?<=[A-Za-z0-9])@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+[:/?#]{_PLACE}"
 WEAK = (
     ("weak_access", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{8,15}|(?:ASIA|AGPA|AIDA|AROA)[A-Z0-9]{8,}+)(?![A-Za-z0-9])", 12, 0, "access"),
-    ("weak_secret", rf"(?<![A-Za-z0-9+/=])(?!{_ACCESS})(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{{16,}}+={{0,2}}(?![A-Za-z0-9+/=])", 16, 0, "secret"),
-    ("weak_endpoint", r"(?:https?|s3|ftp|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@%&=+-]{4,}", 8, 0, "endpoint"),
+    ("weak_secret", rf"{_PASSED}|((?<![A-Za-z0-9+/=])(?!{_ACCESS})(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])[A-Za-z0-9+/]{{16,}}+={{0,2}}(?![A-Za-z0-9+/=]))", 16, 1, "secret"),
+    ("weak_endpoint", rf"{_SCHEME}{_PLACE}", 8, 0, "endpoint"),
 )
 KINDS = BASE + WEAK
 ROLES = sorted({role for *_, role in KINDS})
 SCOPE = 240
+#: Elements of a block: prefix sums and the join work block by block, since arrays that grow step by step cost the square.
+BLOCK = 64
 
 PART = "struct<start: int, rank: int, kind: string, end: int, role: string, base: boolean>"
 
@@ -39,6 +50,28 @@ NEEDS = {
 }
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: inside a lambda, an expression is computed for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """The array cut into arrays of :data:`BLOCK` elements."""
+    none = F.expr("CAST(array() AS array<int>)")
+
+    def cut(x):
+        numbers = F.when(F.size(x) > 0, F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int"))).otherwise(none)
+        return F.transform(numbers, lambda b: F.slice(x, b * BLOCK + 1, BLOCK))
+
+    return _once(items, cut)
+
+
+def _sums(lengths: Column) -> Column:
+    """Where each of some lengths begins, run together, and where the last ends."""
+    begin = F.array(F.lit(0))
+    return F.aggregate(lengths, begin, lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+
 def _found(text: Column, rank: int) -> Column:
     """The kind's matches in ``text`` with their places: gaps and matches alternate, so lengths give starts."""
     name, pattern, least, group, role = KINDS[rank]
@@ -55,7 +88,14 @@ def _found(text: Column, rank: int) -> Column:
         )
 
     begin = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start: int, end: int>>)").alias("spans"))
-    spans = F.aggregate(lengths, begin, step, lambda done: done["spans"])
+    blocks = F.transform(_blocks(lengths), lambda block: F.aggregate(block, begin, step))
+
+    def placed(blocks):
+        first = F.slice(_sums(F.transform(blocks, lambda block: block["at"])), 1, F.size(blocks))
+        moved = lambda at: lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"))
+        return F.flatten(F.zip_with(blocks, first, lambda block, at: F.transform(block["spans"], moved(at))))
+
+    spans = _once(blocks, placed)
     parts = F.zip_with(
         spans,
         held,
@@ -84,25 +124,40 @@ def secret_spans(text: Column) -> Column:
 
 
 def _met(parts: Column, backwards: bool = False) -> Column:
-    """Per part, whether one of another role that comes earlier (later if ``backwards``) lies within the scope."""
-    gap = (lambda part, seen: seen - part["end"]) if backwards else (lambda part, seen: part["start"] - seen)
-    furthest, edge = (F.least, "start") if backwards else (F.greatest, "end")
+    """Per part, in order, whether one of another role ends before it (begins after it if ``backwards``) within the scope."""
+    end, start = (lambda p: -p["start"], lambda p: -p["end"]) if backwards else (lambda p: p["end"], lambda p: p["start"])
+    event = lambda at, looks, i, p: F.struct(at.alias("at"), F.lit(looks).alias("looks"), i.alias("i"), p["role"].alias("role"))
+    # At one place the ends come first: parts that touch are beside each other.
+    events = F.array_sort(
+        F.concat(F.transform(parts, lambda p, i: event(end(p), 0, i, p)), F.transform(parts, lambda p, i: event(start(p), 1, i, p)))
+    )
+    last = lambda block, role: F.array_max(
+        F.transform(F.filter(block, lambda e: (e["looks"] == 0) & (e["role"] == role)), lambda e: e["at"])
+    )
+    none = F.lit(None).cast("int")
 
-    def step(done, part):
-        hits = [(part["role"] != role) & (gap(part, done[role]) <= SCOPE) for role in ROLES]
-        hit = F.array(F.coalesce(functools.reduce(lambda a, b: a | b, hits), F.lit(False)))
-        return F.struct(
-            *(F.when(part["role"] == role, furthest(done[role], part[edge])).otherwise(done[role]).alias(role) for role in ROLES),
-            (F.concat(hit, done["met"]) if backwards else F.concat(done["met"], hit)).alias("met"),
-        )
+    def carry(done, block):
+        before = F.element_at(done, -1)
+        # Of null and a number, the greatest is the number.
+        return F.concat(done, F.array(F.struct(*(F.greatest(before[role], last(block, role)).alias(role) for role in ROLES))))
 
-    none = F.lit(None).cast("int")
-    begin = F.struct(*(none.alias(role) for role in ROLES), F.expr("CAST(array() AS array<boolean>)").alias("met"))
-    return F.aggregate(F.reverse(parts) if backwards else parts, begin, step, lambda done: done["met"])
+    def looked(block, before):
+        def hit(e):
+            inside = F.exists(block, lambda q: (q["looks"] == 0) & (q["role"] != e["role"]) & (q["at"] <= e["at"]) & (e["at"] - q["at"] <= SCOPE))
+            earlier = [(e["role"] != role) & (e["at"] - before[role] <= SCOPE) for role in ROLES]
+            return inside | F.coalesce(functools.reduce(lambda a, b: a | b, earlier), F.lit(False))
+
+        return F.transform(F.filter(block, lambda e: e["looks"] == 1), lambda e: F.struct(e["i"].alias("i"), hit(e).alias("hit")))
+
+    def found(blocks):
+        carried = F.aggregate(blocks, F.array(F.struct(*(none.alias(role) for role in ROLES))), carry)
+        return F.flatten(F.zip_with(blocks, F.slice(carried, 1, F.size(blocks)), looked))
+
+    return F.transform(F.array_sort(_once(_blocks(events), found)), lambda f: f["hit"])
 
 
 def linked(parts: Column) -> Column:
-    """The base parts, and the weak ones near a part of another role; ``parts`` are sorted by start."""
+    """The base parts, and the weak ones beside a part of another role; ``parts`` are sorted by start."""
     near = F.zip_with(_met(parts), _met(parts, backwards=True), lambda a, b: a | b)
     found = F.filter(F.zip_with(parts, near, lambda part, n: F.when(part["base"] | n, part)), lambda part: part.isNotNull())
     base = F.filter(parts, lambda part: part["base"])
@@ -143,21 +198,29 @@ def redacted(documents: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     spans, out = "__spans", "__text"
     found = documents.withColumn(spans, secret_spans(F.col("text"))).withColumn(spans, linked(F.col(spans)))
 
-    def step(done, s):
-        fresh = s["start"] >= done["at"]
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(
-                fresh,
-                F.concat(done["out"], F.substr(F.col("text"), done["at"] + 1, s["start"] - done["at"]), F.lit(mark)),
-            )
-            .otherwise(done["out"])
-            .alias("out"),
-        )
+    # Each block of spans rebuilds the text from where the earlier ones end to where it ends itself.
+    blocks = F.transform(_blocks(F.col(spans)), lambda block: F.struct(block.alias("spans"), F.array_max(F.transform(block, lambda s: s["end"])).alias("end")))
+    ends = lambda blocks: F.aggregate(
+        blocks, F.array(F.lit(0)), lambda done, block: F.concat(done, F.array(F.greatest(F.element_at(done, -1), block["end"])))
+    )
+
+    def rebuilt(block, low):
+        own = F.substr(F.col("text"), low + 1, F.greatest(block["end"] - low, F.lit(0)))
+
+        def step(done, s):
+            gap = F.substr(done["own"], done["at"] - low + 1, s["start"] - done["at"])
+            out = F.when(s["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"])
+            return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"), done["own"].alias("own"))
+
+        begin = F.struct(low.alias("at"), F.lit("").alias("out"), own.alias("own"))
+        return F.aggregate(block["spans"], begin, step, lambda done: done["out"])
+
+    def joined(blocks):
+        pieces = F.zip_with(blocks, F.slice(ends(blocks), 1, F.size(blocks)), rebuilt)
+        return F.concat(F.array_join(pieces, ""), F.substr(F.col("text"), F.element_at(ends(blocks), -1) + 1))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rebuilt = F.aggregate(spans, begin, step, lambda done: F.concat(done["out"], F.substr(F.col("text"), done["at"] + 1)))
-    text = F.when(F.size(spans) > 0, rebuilt).otherwise(F.col("text"))
+    whole = _once(blocks, joined)
+    text = F.when(F.size(spans) > 0, whole).otherwise(F.col("text"))
     changed = found.withColumn(out, text)
     columns = {"text": F.col(out)}
     if "n_chars" in documents.columns:

@@ -404,8 +404,8 @@ LINKED = [
 def brute_linked(text):
     parts = []
     for rank, (name, pattern, least, group, role) in enumerate(secrets.KINDS):
-        parts += [(m.start(), rank, name, m.end(), role) for m in re.finditer(pattern, text, re.A) if len(m[group]) >= least]
-    near = lambda p, q: p[4] != q[4] and max(p[0], q[0]) - min(p[3], q[3]) <= secrets.SCOPE
+        parts += [(m.start(), rank, name, m.end(), role) for m in re.finditer(pattern, text, re.A) if len(m[group] or "") >= least]
+    near = lambda p, q: p[4] != q[4] and (0 <= p[0] - q[3] <= secrets.SCOPE or 0 <= q[0] - p[3] <= secrets.SCOPE)
     return ",".join(f"{p[2]}:{p[0]}:{p[3]}" for p in sorted(parts) if p[1] < len(secrets.BASE) or any(near(p, q) for q in parts))
 
 
@@ -426,6 +426,44 @@ def test_linked_parts_equal_brute_force(spark):
     assert found == {i: (brute_linked(t),) for i, t in enumerate(texts)}
 
 
+PLAIN_URLS = [
+    "see https://github.com/SomeOrg/Repo123/Readme for more",
+    "https://cdn.example/Assets2024/Main/BundleV2x9 and https://other.example/SomeOrg/Repo123/Readme",
+    "mirror ftp://files.example:8021/Pub/Release7/ImagesArchive22 or s3://bucket/Key1/Part2/PathToObject3",
+    "write to someone@mail.example/AbC1234567890defgh",
+]
+
+
+def test_plain_urls_are_no_company_for_themselves(spark):
+    df = documents(spark, [*PLAIN_URLS, f"postgres://admin:{KEY}@db.example/Orders2024/TablesV1"])
+    spans, texts = by_id(secrets.secret_report(df), "spans"), by_id(secrets.redacted(df), "text")
+    assert [texts[i][0] for i in range(len(PLAIN_URLS))] == PLAIN_URLS and not any(spans[i][0] for i in range(len(PLAIN_URLS)))
+    # The password is a weak secret, but its own endpoint is no company.
+    assert spans[len(PLAIN_URLS)][0] == ""
+    held = f"AKIA12345678 for postgres://admin:{KEY}@db.example/Orders2024/TablesV1"
+    assert f"weak_secret:{held.index(KEY)}:{held.index(KEY) + len(KEY)}" in by_id(secrets.secret_report(documents(spark, [held])), "spans")[0][0]
+
+
+def test_given_texts_with_planted_urls_stay_clean(spark, sf_dir):
+    """URLs put into texts without any finding add none."""
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL")
+    before = secrets.secret_report(given).where("spans = ''").select("doc_id")
+    planted = given.join(before, "doc_id").withColumn("text", F.concat("text", F.lit("\n"), F.element_at(F.array(*map(F.lit, PLAIN_URLS[:3])), (F.col("doc_id") % 3 + 1).cast("int"))))
+    assert planted.count() > 100 and secrets.secret_report(planted).where("spans <> ''").count() == 0
+
+
+def test_very_many_matches_in_one_text(spark):
+    import time
+
+    begin = time.time()
+    text = "token=abcdefg AKIA12345678 " * 50_000
+    found = secrets.secret_report(documents(spark, [text])).first()
+    assert found["n_assign"] == 50_000 and found["spans"].count("weak_access") == 50_000
+    masked = secrets.redacted(documents(spark, [text])).first()["text"]
+    assert masked == "[SECRET] [SECRET] " * 50_000
+    assert time.time() - begin < 120
+
+
 def test_redaction(spark):
     df = documents(spark, [*SECRETS, "clean text"])
     out = secrets.redacted(df)
