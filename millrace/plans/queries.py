@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.keys import composite_key, epoch_date, epoch_seconds
 from millrace.functions.values import labelled, modulo_group, pick_sql
-from millrace.operators import dedup, feed, positions, quality, relational, table, writes
+from millrace.operators import dedup, feed, history, packing, positions, quality, relational, split, table, writes
 from millrace.operators.sizes import dataset_files, dataset_size
 from millrace.plans import compare, explain, jobs
 from millrace.session import scratch_path
@@ -381,16 +381,21 @@ _BATCH_SQL = f"""(SELECT *, coalesce(CAST(floor((o_orderkey - low) * {_BATCHES}
     FROM orders, (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders))"""
 
 
-def _orders_in_batches(spark: SparkSession, sf: str) -> str:
-    """A table of orders in commits of equal key ranges; orders are scanned once and none is left out."""
+def _order_batches(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Orders in equal key ranges; orders are scanned once and none is left out."""
     orders = _table(spark, sf, "orders")
     ends = orders.agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).first()
     batch = positions.range_slice(F.col("o_orderkey"), F.lit(ends["low"]), F.lit(ends["high"]), _BATCHES)
     parted = scratch_path(spark, "order-batches")
     writes.write_partitioned(orders.withColumn("batch", F.coalesce(batch, F.lit(0))), parted, "batch")
     stored = spark.read.schema(T.StructType([*orders.schema, T.StructField("batch", T.IntegerType())])).parquet(parted)
+    return [stored.filter(F.col("batch") == i).drop("batch") for i in range(_BATCHES)]
+
+
+def _orders_in_batches(spark: SparkSession, sf: str) -> str:
+    """A table of orders in commits of equal key ranges."""
     path = scratch_path(spark, "orders")
-    jobs.append_batches((stored.filter(F.col("batch") == i).drop("batch") for i in range(_BATCHES)), path)
+    jobs.append_batches(_order_batches(spark, sf), path)
     return path
 
 
@@ -423,6 +428,71 @@ def compacted_mean(spark: SparkSession, sf: str) -> DataFrame:
     return means.select("o_orderstatus", F.round("o_totalprice", 6).alias("mean_price"))
 
 
+@registered(
+    """SELECT (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders) AS row_count,
+    ((SELECT sum(l_orderkey) FROM lineitem) + (SELECT sum(o_orderkey) FROM orders))::BIGINT AS key_sum,
+    true AS fewer_files, true AS large_untouched"""
+)
+def packed_small_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of line items in one commit and of orders in thirty small ones: packing rewrites the small ones alone."""
+    path = scratch_path(spark, "packing")
+    table.write_table(_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_shipdate").alias("at")).coalesce(1), path)
+    large = table.table_size(spark, path).first()["live_bytes"]
+    for batch in _order_batches(spark, sf):
+        table.write_table(batch.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("at")), path)
+    # Of more than half this size the large commit is left alone.
+    done = packing.pack_small(spark, path, target_bytes=2 * large - 1)
+    rows = table.read_table(spark, path).agg(F.count(F.lit(1)).alias("row_count"), F.sum("key").alias("key_sum"))
+    return rows.withColumns(
+        {"fewer_files": F.lit(done.files_after < done.files_before), "large_untouched": F.lit(done.bytes_untouched == large)}
+    )
+
+
+_PLANTED = """(SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS customer_key,
+    CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS amount, o_totalprice FROM orders)"""
+_ORDER_LINE = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("customer_key", T.LongType()),
+        T.StructField("amount", T.LongType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+    ]
+)
+
+
+def _split_orders(spark: SparkSession, sf: str) -> split.Split:
+    """Orders with planted faults: unknown customers, amounts that are no number, and prices out of range."""
+    orders = _table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("customer_key"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")).alias("amount"),
+        "o_totalprice",
+    )
+    checks = {"o_totalprice: out of range": F.col("o_totalprice") < 300_000}
+    return split.split_write(orders, scratch_path(spark, "split"), _ORDER_LINE, ["o_orderkey", "customer_key"], checks)
+
+
+@registered(
+    f"""SELECT o_orderkey, customer_key, CAST(amount AS BIGINT) AS amount, o_totalprice FROM {_PLANTED}
+    WHERE customer_key IS NOT NULL AND amount <> 'n/a' AND o_totalprice < 300000"""
+)
+def split_write_accepted(spark: SparkSession, sf: str) -> DataFrame:
+    return split.accepted_rows(spark, _split_orders(spark, sf).path, _ORDER_LINE)
+
+
+@registered(
+    f"""SELECT reasons, count(*) AS row_count, sum(o_orderkey)::BIGINT AS key_sum FROM (SELECT *, concat_ws('; ',
+    CASE WHEN customer_key IS NULL THEN 'customer_key: null in a required column' END,
+    CASE WHEN amount = 'n/a' THEN 'amount: not a bigint' END,
+    CASE WHEN o_totalprice >= 300000 THEN 'o_totalprice: out of range' END) AS reasons FROM {_PLANTED}) WHERE reasons <> '' GROUP BY reasons"""
+)
+def split_write_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows were refused for which reasons, and their keys from the rows as they came."""
+    rows = split.refused_rows(spark, _split_orders(spark, sf).path)
+    key = F.get_json_object("original", "$.o_orderkey").cast("long")
+    return rows.groupBy(F.array_join("reasons", "; ").alias("reasons")).agg(F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"))
+
+
 @registered(
     """SELECT attempt, problems, CAST(0 AS BIGINT) AS version_after, (SELECT count(*) FROM orders) AS rows_after
     FROM (VALUES ('renamed column', 'schema mismatch: amount: not in the table; o_totalprice: missing'),
@@ -464,7 +534,7 @@ def upsert_latest_event(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixed_upserts(spark: SparkSession, sf: str) -> str:
-    """Messages by user: first the even events, then a batch of all of them.
+    """Messages by user: first the events of the middle of the month, then a batch of all events.
 
     The batch holds older, equal and newer rows of the keys in the table, and new keys.
     """
@@ -477,14 +547,15 @@ def _mixed_upserts(spark: SparkSession, sf: str) -> str:
         "event_type",
     )
     path = scratch_path(spark, "mixed-upserts")
-    even = F.coalesce((F.col("arrival_index") % 2 == 0) & (F.col("arrival_index") % 7 != 0), F.lit(False))
-    table.upsert(events.filter(even), path, with_hash=True)
-    table.upsert(events.filter("arrival_index % 3 = 0"), path, with_hash=True)
+    begin, end = (epoch_seconds(F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz")) for day in ("10", "20"))
+    middle = F.coalesce(F.col("created_at").between(begin, end), F.lit(False))
+    table.upsert(events.filter(middle), path, with_hash=True)
+    table.upsert(events, path, with_hash=True)
     return path
 
 
-_UPSERT_INPUT = """WITH first AS (SELECT * FROM events WHERE event_id % 2 = 0 AND event_id % 7 <> 0),
-    second AS (SELECT * FROM events WHERE event_id % 3 = 0),
+_UPSERT_INPUT = """WITH first AS (SELECT * FROM events WHERE ts BETWEEN '2024-01-10' AND '2024-01-20'),
+    second AS (SELECT * FROM events),
     either AS (SELECT * FROM first UNION SELECT * FROM second)
 """
 
@@ -739,12 +810,57 @@ def bronze_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.bronze_metrics(dedup.add_hashes(_feed(spark, sf), _PAYLOAD))
 
 
+@registered(
+    _FEED
+    + """SELECT count(*) AS total_records,
+    count(DISTINCT (message_id, sequence_id, partition_id)) AS unique_composite_keys,
+    count(DISTINCT (message_id, sequence_id, partition_id, event_type, props, user_id, value))
+        AS unique_payloads,
+    count(*) - count(DISTINCT (message_id, sequence_id, partition_id)) AS potential_duplicates
+    FROM feed"""
+)
+def bronze_metrics_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    """The same metrics from partials per date, brought up to date in three increments of which each reads its own dates."""
+    bronze = table.read_table(spark, _stored_bronze(spark, sf))
+    path = scratch_path(spark, "metrics")
+    # One row per date of the table's directories.
+    dates = sorted(row[0] for row in bronze.select("partition_date").distinct().collect())
+    for part in range(3):
+        history.refresh_metrics(bronze, path, dates[part::3])
+    return history.stored_metrics(spark, path)
+
+
 # Users as message ids: one key, many events, many payloads.
+def _reused(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("message_id"),
+        F.lit(0).cast("long").alias("sequence_id"),
+        (F.col("user_id") % 3).alias("partition_id"),
+        "event_type",
+        epoch_seconds(F.col("ts")).alias("created_at"),
+        F.col("event_id").alias("arrival_index"),
+    )
+
+
 _REUSED = """WITH reused AS (SELECT CAST(user_id AS VARCHAR) AS message_id, 0 AS sequence_id,
     user_id % 3 AS partition_id, event_type, event_id FROM events)
 """
 
 
+@registered(
+    """WITH runs AS (SELECT user_id, event_type, ts, event_id,
+        sum(CASE WHEN before = event_type THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run
+        FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
+    ), states AS (SELECT user_id, run, min(event_type) AS event_type, min(epoch_us(ts) / 1e6) AS valid_from, count(*) AS deliveries
+        FROM runs GROUP BY user_id, run)
+    SELECT CAST(user_id AS VARCHAR) AS message_id, event_type, valid_from,
+        lead(valid_from) OVER (PARTITION BY user_id ORDER BY run) AS valid_to, deliveries FROM states"""
+)
+def payload_history(spark: SparkSession, sf: str) -> DataFrame:
+    """From when to when each event type of a user was the last one said."""
+    return history.payload_history(_reused(spark, sf), ["message_id"], "event_type")
+
+
 @registered(
     _REUSED
     + f"""SELECT {_HASH} AS composite_hash, count(*) AS deliveries,
@@ -753,15 +869,7 @@ _REUSED = """WITH reused AS (SELECT CAST(user_id AS VARCHAR) AS message_id, 0 AS
 )
 def reused_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Keys that came with different payloads."""
-    reused = _table(spark, sf, "events").select(
-        F.col("user_id").cast("string").alias("message_id"),
-        F.lit(0).cast("long").alias("sequence_id"),
-        (F.col("user_id") % 3).alias("partition_id"),
-        "event_type",
-        epoch_seconds(F.col("ts")).alias("created_at"),
-        F.col("event_id").alias("arrival_index"),
-    )
-    return dedup.changed_payloads(dedup.add_hashes(reused, ["event_type"]))
+    return dedup.changed_payloads(dedup.add_hashes(_reused(spark, sf), ["event_type"]))
 
 
 @registered(
@@ -888,6 +996,19 @@ def missing_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return feed.missing_sequences(produced, _feed(spark, sf, lose_every=97))
 
 
+@registered(
+    _LOSSY
+    + """SELECT partition_id, before + 1 AS first_missing, sequence_id - 1 AS last_missing, sequence_id - before - 1 AS missing
+    FROM (SELECT partition_id, sequence_id, lag(sequence_id) OVER (PARTITION BY partition_id ORDER BY sequence_id) AS before
+    FROM (SELECT DISTINCT partition_id, sequence_id FROM feed
+        UNION SELECT DISTINCT partition_id, -1 FROM feed UNION SELECT DISTINCT partition_id, 2000000000 FROM feed))
+    WHERE sequence_id - before > 1"""
+)
+def missing_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of ids that each partition lacks, up to an end far beyond the last one; buckets so small that runs cross them."""
+    return feed.missing_ranges(_feed(spark, sf, lose_every=97), ["partition_id"], 0, 1_999_999_999, bucket_ids=50)
+
+
 @registered(
     _LOSSY
     + """SELECT (SELECT count(*) FROM events) AS total_produced, count(*) AS total_received,
@@ -952,6 +1073,32 @@ def feed_quality(spark: SparkSession, sf: str) -> DataFrame:
     return report.withColumns({c: F.round(c, 6) for c in rounded})
 
 
+@registered(
+    _FEED
+    + """SELECT partition_id, quantile, count(*) AS messages, round(min(latency), 6) AS min_latency_s,
+    round(max(latency), 6) AS max_latency_s, true AS within_bound
+    FROM (SELECT partition_id, arrival_ts + value - created_at AS latency FROM feed),
+    (SELECT unnest([0.5, 0.95, 0.99])::DOUBLE AS quantile) GROUP BY partition_id, quantile"""
+)
+def latency_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Latency percentiles per partition from stored sketches per date, held against the exact ranks.
+
+    The value of an event delays its delivery by as many seconds.
+    """
+    received = _feed(spark, sf).withColumn("arrival_ts", F.col("arrival_ts") + F.col("value"))
+    path = writes.write_parquet(feed.latency_sketches(received), scratch_path(spark, "latency-sketches"))
+    found = feed.latency_quantiles(spark.read.parquet(path))
+    checked = feed.quantile_ranks(received, found)
+    return checked.select(
+        "partition_id",
+        "quantile",
+        "messages",
+        F.round("min_latency_s", 6).alias("min_latency_s"),
+        F.round("max_latency_s", 6).alias("max_latency_s"),
+        (F.col("rank_error") <= feed.RANK_ERROR).alias("within_bound"),
+    )
+
+
 @registered(
     _FEED
     + """, counts AS (SELECT count(*) AS n, count(DISTINCT (message_id, sequence_id, partition_id))
@@ -1068,6 +1215,54 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _arriving(spark: SparkSession, sf: str, label: str, run) -> None:
+    """The feed as three deliveries of consecutive arrivals; ``run(folder)`` takes up what has come after each."""
+    rows = _feed(spark, sf).select(*_FEED_JSON.names, F.col("arrival_index").alias("sent"))
+    ends = rows.agg(F.min("sent").alias("low"), F.max("sent").alias("high")).first()
+    delivery = F.coalesce(positions.range_slice(F.col("sent"), F.lit(ends["low"]), F.lit(ends["high"]), 3), F.lit(0))
+    folder = scratch_path(spark, label)
+    for number in range(3):
+        part = rows.filter(delivery == number).repartitionByRange(4, "sent").sortWithinPartitions("sent")
+        part.write.mode("append").json(folder)
+        run(folder)
+
+
+@registered(
+    _FEED + """SELECT message_id, CAST(row_number() OVER (ORDER BY arrival_index) AS BIGINT) AS stamped_index, true AS stamped FROM feed"""
+)
+def stream_arrival_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrival numbers that go on over three micro-batches, the stream being restarted for each."""
+    path, state = scratch_path(spark, "stamped"), scratch_path(spark, "stream-state")
+
+    def run(folder: str) -> None:
+        schema = T.StructType([*_FEED_JSON.fields, T.StructField("sent", T.LongType())])
+        # The files of one delivery are written at about the same time; their names tell the order.
+        streams.arrival_index_stream(streams.read_message_stream(spark, folder, schema), path, state, by_time=False)
+
+    _arriving(spark, sf, "arriving", run)
+    return table.read_table(spark, path).select(
+        "message_id", F.col("arrival_index").alias("stamped_index"), F.col("arrival_ts").isNotNull().alias("stamped")
+    )
+
+
+@registered(
+    _FEED
+    + _STEPS
+    + """SELECT partition_id, count(*) AS received, count(*) FILTER (back) AS steps_back,
+    count(*) FILTER (back) > 0 AS out_of_order FROM steps GROUP BY partition_id"""
+)
+def stream_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Order by partition from one state row each, over three micro-batches with a restart before each."""
+    path, state = scratch_path(spark, "order-state"), scratch_path(spark, "stream-state")
+    _arriving(
+        spark,
+        sf,
+        "arriving",
+        lambda folder: streams.order_stream(streams.read_message_stream(spark, folder, _FEED_JSON), path, state, bucket_rows=500),
+    )
+    return streams.order_state(spark, path)
+
+
 # Checks
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.keys import KEY_FIELDS, composite_key, epoch_date, epoch_time
 from millrace.operators.dedup import ARRIVAL, WRITE_ORDER, keep_first
+from millrace.operators.feed import BUCKET_ROWS, order_summary
 from millrace.operators.positions import with_row_index
 from millrace.operators.table import (
     BUCKETS,
@@ -27,6 +28,8 @@ from millrace.session import pin
 EVENT_TIME = "event_time"
 SALT = "_salt"
 SALTS = 8
+#: Buckets of a state table of one row per feed partition.
+STATE_BUCKETS = 4
 
 
 def read_message_stream(
@@ -44,7 +47,7 @@ def with_arrival(df: DataFrame) -> DataFrame:
 
     Arrival order is file time, file name, and place in the file: parallel tasks share no counter.
     It sorts rows; :func:`with_arrival_index` turns it into numbers from 1 where a batch needs them.
-    A stream knows only the file of a row; stamp inside ``foreachBatch`` to tell its rows apart.
+    A stream knows only the file of a row; :func:`arrival_index_stream` tells its rows apart batch by batch.
     """
     meta = F.col("_metadata")
     order = [
@@ -236,6 +239,68 @@ def first_arrival_stream(
     return _each_batch(stream, path, checkpoint, write)
 
 
+def arrival_index_stream(stream: DataFrame, path: str, checkpoint: str, by_time: bool = True):
+    """Append every message of a stream of files to a versioned table with a gap-free ``arrival_index`` from 1.
+
+    The counter survives micro-batches and restarts: within a batch a message's number follows from the counts
+    of earlier files and its place in its own, and the batch starts where the table's last version ends. That
+    mark is committed with the rows, so a batch that is replayed gets the numbers it had, or is known as done.
+
+    The order inside a batch is that of file time, file name and place; ``by_time=False`` leaves the time out,
+    for files whose names tell the order. ``arrival_ts`` is the time of the batch. Columns of these names are replaced.
+    """
+    own = [c for c in stream.columns if c not in ("arrival_ts", "arrival_index", "arrival_order")]
+    stamped = with_arrival(stream.select(*own, "_metadata")).drop("_metadata")
+
+    def write(batch: DataFrame, writer: str, batch_id: int, found: Snapshot | None) -> None:
+        start = found.total_rows if found else 0
+        order = [f"arrival_order.{field}" for field in ("file_time", "file", "block")[0 if by_time else 1 :]]
+        # The lower 33 bits count the rows within one task; a file block lies in one task.
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        numbered = with_row_index(batch.withColumn("_row_place", place), [*map(F.col, order), F.col("_row_place")], "_index")
+        rows = numbered.select(*own, "arrival_ts", (F.col("_index") + F.lit(start + 1)).alias("arrival_index"))
+        write_table(rows, path, writer=writer, batch_id=batch_id, found=found)
+
+    return _each_batch(stamped, path, checkpoint, write)
+
+
+def order_stream(stream: DataFrame, path: str, checkpoint: str, bucket_rows: int = BUCKET_ROWS):
+    """Keep, per partition of a stream, what tells its order: one state row, updated batch by batch.
+
+    A state row has the messages received, the steps back and the id that came last; a batch adds its own counts
+    (see :func:`order_summary`, which spreads a hot partition over tasks) and one more step where its first id is smaller
+    than the last one before it. Batches must follow each other in ``arrival_index``, as those of
+    :func:`arrival_index_stream` do. State rows are merged into a versioned table together with the batch's
+    number, so a replayed batch counts once. Read it with :func:`order_state`.
+    """
+
+    def write(batch: DataFrame, writer: str, batch_id: int, found: Snapshot | None) -> None:
+        fresh = order_summary(batch, bucket_rows)
+        if found is not None:
+            names = ["partition_id", "received", "steps_back", "last_id"]
+            # One row per partition of the feed.
+            state = read_table(batch.sparkSession, path).select(*[F.col(n).alias(f"_{n}") for n in names])
+            joined = fresh.join(state, F.col("partition_id").eqNullSafe(F.col("_partition_id")), "left")
+            step = F.coalesce((F.col("_last_id") > F.col("first_id")).cast("long"), F.lit(0))
+            fresh = joined.select(
+                "partition_id",
+                (F.col("received") + F.coalesce("_received", F.lit(0))).alias("received"),
+                (F.col("steps_back") + F.coalesce("_steps_back", F.lit(0)) + step).alias("steps_back"),
+                "first_id",
+                F.coalesce("last_id", "_last_id").alias("last_id"),
+                "last_index",
+            )
+        upsert(fresh, path, ["partition_id"], ["last_index"], STATE_BUCKETS, writer=writer, batch_id=batch_id)
+
+    return _each_batch(stream, path, checkpoint, write)
+
+
+def order_state(spark: SparkSession, path: str) -> DataFrame:
+    """The state of :func:`order_stream` in the form of ``operators.feed.out_of_order``."""
+    state = read_table(spark, path)
+    return state.select("partition_id", "received", "steps_back", (F.col("steps_back") > 0).alias("out_of_order"))
+
+
 def unseen(fresh: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``fresh`` (one per key) whose key the table lacks; null keys equal null keys."""
     names = [f"_seen_{i}" for i in range(len(keys))]
