@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.components import components
 from millrace.llm.text import by_batch, mix, shingles, steps, text_bytes
@@ -66,8 +67,37 @@ class Forest:
         return rows, keys.view(np.int64), (least >> np.uint64(56)).astype(np.uint8)
 
 
+def set_digests(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Two 64-bit digests of each row's set, 0 for an empty one."""
+    rows = np.flatnonzero(np.diff(first))
+    sums = np.zeros((2, len(first) - 1), np.uint64)
+    if len(rows):
+        starts = first[:-1][rows]
+        sums[0, rows] = np.add.reduceat(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), starts)
+        sums[1, rows] = np.add.reduceat(mix(hashes + np.uint64(0x14057B7EF767814F)), starts)
+    return sums
+
+
+def with_digests(documents: DataFrame, size: int) -> DataFrame:
+    """The documents, all columns, with ``__n, __d1, __d2``: the size and the digests of their shingle sets."""
+    place = documents.columns.index("text")
+    names = ("__n", "__d1", "__d2")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = text_bytes(batch.column(place))
+        found = [np.empty((3, 0), np.int64)]
+        for low, high in steps(offsets):
+            hashes, first = shingles(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], size)
+            found.append(np.vstack([np.diff(first), set_digests(hashes, first).view(np.int64)]))
+        added = [pa.array(column, pa.int64()) for column in np.hstack(found)]
+        return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *names])
+
+    fields = [T.StructField(name, T.LongType()) for name in names]
+    return by_batch(documents, work, T.StructType([*documents.schema.fields, *fields]))
+
+
 def signature_table(documents: DataFrame, size: int, forest: Forest) -> DataFrame:
-    """``doc_id, n, d1, d2, keys, signature``; equal sets have equal ``d1, d2``; no keys without shingles."""
+    """``doc_id, n, d1, d2, keys, signature``; equal sets have equal ``d1, d2`` (0 without shingles, and then no keys)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = text_bytes(batch.column(1))
@@ -76,10 +106,7 @@ def signature_table(documents: DataFrame, size: int, forest: Forest) -> DataFram
             hashes, first = shingles(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], size)
             rows, tree_keys, signature = forest.signatures(hashes, first)
             n = np.diff(first)
-            sums = np.zeros((2, len(n)), np.uint64)
-            if len(rows):
-                sums[0, rows] = np.add.reduceat(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), first[:-1][rows])
-                sums[1, rows] = np.add.reduceat(mix(hashes + np.uint64(0x14057B7EF767814F)), first[:-1][rows])
+            sums = set_digests(hashes, first)
             counts.append(n)
             one.append(sums[0].view(np.int64))
             two.append(sums[1].view(np.int64))
@@ -201,72 +228,101 @@ def _blocked(rows: DataFrame, blocks) -> DataFrame:
     return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
 
 
-def near_duplicates(documents: DataFrame, size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document.
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Two documents are linked if ``whole * intersection >= part * union`` of their sets of ``size``-word shingles;
-    ``component_id`` is the smallest ``doc_id`` that links reach, ``kept`` whether it is the document's own.
-    Texts without words, empty and null ones have no shingles and are linked with nothing. Repeated rows are
-    exact copies with one id. Rows with a null id take the component of their exact copies, or null, and are
-    kept only in the latter case.
-    """
-    spark = documents.sparkSession
-    forest = Forest(part / whole)
 
-    def stored(df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[DataFrame, DataFrame]:
+    """The signature table, and ``d1, d2, least, component_id, keeper`` of each distinct set.
 
-    table = stored(signature_table(documents, size, forest), "signatures")
-    # Exact copies, however many, are one set from here on; they are combined before the shuffle.
-    sets = stored(
+    ``least`` is the smallest id of the documents that have the set. Of the sets of a component one is its keeper: that
+    of the smallest id, or of the smallest digests where no document of the component has an id.
+    """
+    forest = Forest(part / whole)
+    table = _stored(signature_table(documents, size, forest), "signatures")
+    # Exact copies, however many, are one set from here on; they are combined before the shuffle. A set is known by a
+    # number of its own, given once, when the sets are stored: ids may be null, or used for several texts.
+    sets = (
         table.where(F.col("n") > 0)
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")),
-        "sets",
+        .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
     )
-    named = sets.where(F.col("node").isNotNull())
+    sets = _stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
 
-    keyed = named.select("node", F.explode("keys").alias("region"))
+    keyed = sets.select("node", F.explode("keys").alias("region"))
     # Stored, so that both sides of the next join are plain shuffles and Spark can split a large region.
-    shared = stored(keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1), "regions")
-    placed = keyed.join(shared, "region").join(named.select("node", "signature"), "node")
+    shared = _stored(keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1), "regions")
+    placed = keyed.join(shared, "region").join(sets.select("node", "signature"), "node")
     dealt = _blocked(placed, F.ceil(F.col("members") / REGION_BLOCK).cast("int"))
     dealt = dealt.select("region", "i", "j", "block", "node", "signature").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "node")
     agree = forest.agree
     candidates = dealt.mapInArrow(lambda batches: _linked(batches, lambda g: similar_signatures(g, agree)), "a long, b long")
-    clusters = stored(components(candidates), "clusters")
+    clusters = _stored(_with_roots(components(candidates)), "clusters")
 
-    members = clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct())
-    members = members.join(named.select("node", "n"), "node")
+    members = clusters.join(sets.select("node", "n", "d1", "d2", "least"), "node")
     weight = members.groupBy("component").agg(F.sum("n").alias("shingles"))
-    members = members.join(weight, "component").select(F.col("node"), F.col("component").alias("region"), "shingles")
-    texts = documents.select(F.col("doc_id").alias("node"), "text").join(members, "node")
+    members = members.join(weight, "component").select("node", F.col("component").alias("region"), "shingles", "d1", "d2", "least")
+    # One text of each member; copies have other ids, and repeated rows are combined before the next shuffle.
+    texts = with_digests(documents.select("doc_id", "text"), size)
+    own = [F.col("__d1") == F.col("d1"), F.col("__d2") == F.col("d2"), F.col("doc_id").eqNullSafe(F.col("least"))]
+    texts = texts.join(members, own).groupBy("node", "region", "shingles").agg(F.first("text").alias("text"))
     dealt = _blocked(texts, F.ceil(F.col("shingles") / CLUSTER_BLOCK).cast("int"))
     dealt = dealt.select("region", "i", "j", "block", "node", "text").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "node")
     confirmed = dealt.mapInArrow(lambda batches: _linked(batches, lambda g: similar_sets(g, size, part, whole)), "a long, b long")
-    linked = components(confirmed).select(F.col("node").alias("linked"), "component")
 
-    answers = sets.select("d1", "d2", "node").join(linked, F.col("node") == F.col("linked"), "left")
-    answers = answers.select("d1", "d2", F.coalesce("component", "node").alias("component"))
-    found = table.where(F.col("n") > 0).join(answers, ["d1", "d2"]).select("doc_id", "n", "component")
-    alone = table.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component"))
+    known = sets.select("node", "d1", "d2", "least")
+    linked = _with_roots(components(confirmed)).join(known, "node")
+    best = F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "d1", "d2")).alias("best")
+    linked = linked.join(linked.groupBy("component").agg(best), "component")
+    linked = linked.select(F.col("node").alias("linked"), "best")
+    found = known.join(linked, F.col("node") == F.col("linked"), "left")
+    alone = F.col("linked").isNull()
+    return table, found.select(
+        "d1",
+        "d2",
+        "least",
+        F.when(alone, F.col("least")).otherwise(F.col("best.least")).alias("component_id"),
+        (alone | (F.col("best.d1") == F.col("d1")) & (F.col("best.d2") == F.col("d2"))).alias("keeper"),
+    )
+
+
+def _with_roots(found: DataFrame) -> DataFrame:
+    """Components with their own nodes, which :func:`components` doesn't list."""
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+
+
+def near_duplicates(documents: DataFrame, size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document.
+
+    Two documents are linked if ``whole * intersection >= part * union`` of their sets of ``size``-word shingles;
+    ``component_id`` is the smallest ``doc_id`` that links reach, ``kept`` whether it is the document's own.
+    Texts without words, empty and null ones have no shingles and are linked with nothing. Repeated rows are
+    exact copies with one id; different texts that share an id are different documents. Rows with a null id take the
+    component of the documents they are linked with, or null, and are kept only in the latter case.
+    """
+    table, sets = _classes(documents, size, part, whole)
+    answers = sets.select("d1", "d2", "component_id")
+    found = table.where(F.col("n") > 0).join(answers, ["d1", "d2"]).select("doc_id", "n", "component_id")
+    alone = table.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return found.unionByName(alone).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.col("component").alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"),
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
 def without_near_duplicates(documents: DataFrame, size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """The documents, all columns, one of each component: the one with the smallest id, once.
+    """The documents, all columns, one row of each component: one of the smallest id that has one.
 
-    Documents with a null id stay if no other document has their shingles.
+    Different texts that share an id stay if they aren't linked. Of documents with a null id one stays if none of
+    its component has an id. Documents without shingles are linked with nothing: all of them stay.
     """
-    found = near_duplicates(documents, size, part, whole)
-    keys = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    known = documents.join(keys, F.col("doc_id") == F.col("__kept")).drop("__kept").dropDuplicates(["doc_id"])
-    nameless = documents.where(F.col("doc_id").isNull())
-    return known.unionByName(nameless)
+    _, sets = _classes(documents, size, part, whole)
+    keepers = sets.where("keeper").select(F.col("d1").alias("__k1"), F.col("d2").alias("__k2"), F.col("least").alias("__least"))
+    marked = with_digests(documents, size)
+    own = [F.col("__d1") == F.col("__k1"), F.col("__d2") == F.col("__k2"), F.col("doc_id").eqNullSafe(F.col("__least"))]
+    kept = marked.where("__n > 0").join(keepers, own).dropDuplicates(["__d1", "__d2"])
+    return kept.select(*marked.columns).unionByName(marked.where("__n = 0")).drop("__n", "__d1", "__d2")

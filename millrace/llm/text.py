@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
@@ -131,7 +132,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     return hashes, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))])
 
 
-def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
     """Applies ``work`` to each Arrow batch."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -520,7 +520,35 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, size, part, block
     assert found == expected
     kept = near.without_near_duplicates(df.unionByName(df.limit(5)), size, part)
     assert kept.columns == df.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, e in expected.items() if e[2]]
+    # Repeated rows are copies; texts without shingles, here 0 and 1, are linked with nothing.
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 0, 1, 1] + [i for i, e in expected.items() if e[2] and i > 1]
+
+
+def test_near_duplicates_with_null_and_shared_ids(spark):
+    rng = random.Random(8)
+    base = [words(rng, 60).split() for _ in range(5)]
+    near_copy = lambda k: " ".join([*base[k][:-1], "changed"])
+    text = [" ".join(b) for b in base]
+    rows = [
+        (7, text[0]), (7, text[1]),  # one id, two texts
+        (3, near_copy(0)), (None, text[0]),
+        (None, text[2]), (None, near_copy(2)), (None, text[2]),  # no id anywhere
+        (None, text[3]), (5, text[3]), (5, text[3]),
+        (None, ""), (None, None), (9, "x"), (9, "y"), (7, text[1]),
+    ]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS).withColumns({name: F.lit("x") for name in CLASHING})
+    found = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near.near_duplicates(df, 3, 85).collect()), key=str)
+    expected = [(7, 3, False), (7, 7, True), (3, 3, True), (None, 3, False)] + [(None, None, True)] * 3
+    expected += [(None, 5, False), (5, 5, True), (5, 5, True), (None, None, True), (None, None, True), (9, 9, True), (9, 9, True), (7, 7, True)]
+    assert found == sorted(expected, key=str)
+    kept = near.without_near_duplicates(df, 3, 85)
+    assert kept.columns == df.columns
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    nameless = [t for i, t in left if i is None and t]
+    assert len(nameless) == 1 and nameless[0] in (text[2], near_copy(2))
+    named = [(i, t) for i, t in left if not (i is None and t)]
+    assert sorted(named, key=str) == sorted([(7, text[1]), (3, near_copy(0)), (5, text[3]), (None, ""), (None, None), (9, "x"), (9, "y")], key=str)
+    assert near.without_near_duplicates(df.limit(0)).collect() == []
 
 
 def test_forest_misses_next_to_nothing():
@@ -612,6 +640,26 @@ def test_better_documents_come_first(spark):
 # Pipeline
 
 
+def test_pipeline_stages_on_awkward_rows(spark, awkward, labels, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, shared ids and clashing columns, stage by stage."""
+    import corpus_pipeline
+
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "kein Treffer in diesen Texten"), (None, "x"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for docs in (awkward, awkward.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, docs, str(tmp_path))
+            assert kept.columns == docs.columns, name
+            before = sorted(str(r["doc_id"]) for r in docs.collect())
+            after = sorted(str(r["doc_id"]) for r in kept.collect())
+            if name in ("decontamination", "secret_scan"):
+                assert after == before
+            else:
+                assert set(after) <= set(before)
+        mixed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert mixed.count() == docs.count()
+
+
 def test_pipeline_equals_its_parts(spark, tmp_path):
     import corpus_pipeline
 
