@@ -1,12 +1,11 @@
 """Phrase collocations: Misra-Gries summaries per hash partition name the frequent phrases, a second pass counts them.
 
-A phrase of ``threshold`` occurrences is made of words, and of shorter phrases, that occur as often. So words are mined
-first, and then the longer phrases all of whose words stayed. One mining round works as follows. Each task hashes the
-phrases of its texts and counts equal hashes; the counts travel, packed, to the hash partition that the first bits name.
-A partition's mass M is known before its counts come, and its summary has more than M / threshold counters, so what
-all decrements together can take from one counter is below the threshold: each frequent phrase survives. Survivors set
-a bit of a map of fixed size. The last pass counts, as text, each phrase whose bit is set; equal bits of
-infrequent phrases cost a row there and nothing else.
+Each task hashes the phrases of one to five words of its texts and counts equal hashes; the counts travel, packed, to the
+hash partition that the first bits name. A partition's mass M is known before its counts come, and its summary has
+more than M / threshold counters, so what all decrements together can take from one counter is below the threshold:
+each frequent phrase survives. Survivors set a bit of a map of fixed size. The second pass counts, as text, each
+phrase whose bit is set, again in blocks by hash partition; phrases that only share a bit with a frequent one cost an
+entry there and nothing else.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.text import LOWERED, mix, prefix_hashes, span_hash, steps, text_bytes
+from millrace.operators.bounds import broadcast_if_small
 from millrace.session import scratch_path
 
 THRESHOLD = 100
@@ -34,6 +34,13 @@ BITS = 27
 #: Bytes of text per hash partition, and the least partitions as a power of two.
 PARTITION_BYTES = 16 << 20
 LEAST = 6
+#: Where counters of 32 bits stop; what has so many occurrences is frequent.
+MOST = np.uint64((1 << 32) - 1)
+#: Phrases that a hash partition adds up together.
+MERGED = 1 << 20
+
+_PACKED = ["part", "kind", "mass", "n_ones", "ones", "n_more", "more", "counts"]
+_COUNTED = ["lang", "size", "phrase", "a"]
 
 #: Tab and space between words; line ends and . , ; : ! ? between pieces.
 _SPACE = np.zeros(256, bool)
@@ -85,21 +92,30 @@ class Words:
             summed = summed + self.hash[at + k] * _PLACES[k]
         return mix(summed)
 
-    def whole(self, n: int, good: np.ndarray | None) -> np.ndarray:
-        """Where phrases of ``n`` words within one run start; only of ``good`` words, if these are given."""
+    def whole(self, n: int) -> np.ndarray:
+        """Where phrases of ``n`` words within one run start."""
         count = len(self.start) - n + 1
-        if count <= 0:
-            return np.empty(0, np.int64)
-        fits = self.run[:count] == self.run[n - 1 :]
-        if good is not None:
-            bad = np.concatenate([[0], np.cumsum(~good)])
-            fits &= bad[n:] == bad[:count]
-        return np.flatnonzero(fits)
-
-    def text(self, n: int, at: int) -> str:
-        """The phrase of ``n`` words from word ``at``, with single spaces."""
-        span = self.data[self.start[at] : self.end[at + n - 1]].tobytes()
-        return b" ".join(span.split()).decode() if n > 1 else span.decode()
+        return np.flatnonzero(self.run[:count] == self.run[n - 1 :]) if count > 0 else np.empty(0, np.int64)
+
+    def texts(self, n: int, at: np.ndarray) -> pa.Array:
+        """The phrases of ``n`` words from words ``at``, with single spaces."""
+        plain = np.ones(len(at), bool)
+        for k in range(n - 1):
+            end = self.end[at + k]
+            plain &= (self.start[at + k + 1] - end == 1) & (self.data[end] == 32)
+        start, end = self.start[at[plain]], self.end[at[plain] + n - 1]
+        if len(start):
+            offsets = np.concatenate([[0], np.cumsum(end - start)])
+            data = self.data[np.repeat(start - offsets[:-1], end - start) + np.arange(offsets[-1])]
+            found = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        else:
+            found = pa.array([], pa.large_string())
+        if plain.all():
+            return found
+        spans = (self.data[self.start[i] : self.end[i + n - 1]].tobytes() for i in at[~plain].tolist())
+        others = pa.array([b" ".join(span.split()).decode() for span in spans], pa.large_string())
+        order = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
+        return pa.concat_arrays([found, others]).take(pa.array(order))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, pa.Array, np.ndarray]]:
@@ -120,6 +136,23 @@ def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 != 0
 
 
+def _parts(hashes: np.ndarray, power: int) -> Iterator[tuple[int, int, int]]:
+    """Partition, begin and end of each range of sorted hashes that agree in the first ``power`` bits."""
+    parts, begin = np.unique(hashes >> np.uint64(64 - power), return_index=True)
+    yield from zip(parts.tolist(), begin.tolist(), [*begin[1:].tolist(), len(hashes)])
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Sorted 32-bit values: their differences, byte by byte of one rank, compressed."""
+    planes = np.diff(values, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unsqueezed(packed: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * count, "zstd", asbytes=True), np.uint8).reshape(4, count)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
 def _packed(hashes: np.ndarray, power: int) -> pa.RecordBatch:
     """Counts of equal hashes, one row for the mass and one for the counters of each hash partition.
 
@@ -127,17 +160,16 @@ def _packed(hashes: np.ndarray, power: int) -> pa.RecordBatch:
     """
     values, counts = np.unique(hashes >> np.uint64(32 - power), return_counts=True)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    owner = values >> np.uint64(32)
-    parts, begin = np.unique(owner, return_index=True)
     rows = []
-    for p, a, b in zip(parts.tolist(), begin.tolist(), [*begin[1:].tolist(), len(values)]):
+    for p, a, b in _parts(values << np.uint64(32 - power), power):
         single = counts[a:b] == 1
-        more = counts[a:b][~single]
-        rows.append((p, 0, int(counts[a:b].sum()), None, None, None))
-        rows.append((p, 1, None, low[a:b][single].tobytes(), low[a:b][~single].tobytes(), more.astype(np.int64).tobytes()))
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    columns = zip(*rows, strict=True) if rows else [()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "kind", "mass", "ones", "more", "counts"])
+        ones, more = low[a:b][single], low[a:b][~single]
+        rows.append((p, 0, int(counts[a:b].sum()), 0, None, 0, None, None))
+        several = np.minimum(counts[a:b][~single], MOST).astype(np.uint32)
+        rows.append((p, 1, None, len(ones), _squeezed(ones), len(more), _squeezed(more), several.tobytes()))
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+    columns = zip(*rows, strict=True) if rows else [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], _PACKED)
 
 
 class Summary:
@@ -145,7 +177,7 @@ class Summary:
 
     def __init__(self, capacity: int, buffer: int = 1 << 20):
         self.capacity, self.buffer = capacity, max(buffer, capacity)
-        self.values, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.values, self.counts = np.empty(0, np.uint32), np.empty(0, np.uint32)
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
         #: What decrements have taken from a counter at most.
@@ -159,21 +191,27 @@ class Summary:
 
     def settle(self) -> None:
         """Equal values are added up; if too many are left, all lose what the largest one too many has."""
-        values, owner = np.unique(np.concatenate([self.values, *(v for v, _ in self.waiting)]), return_inverse=True)
-        counts = np.zeros(len(values), np.int64)
-        np.add.at(counts, owner, np.concatenate([self.counts, *(c for _, c in self.waiting)]))
+        values = np.concatenate([self.values, *(v for v, _ in self.waiting)]).astype(np.uint64)
+        counts = np.concatenate([self.counts, *(c for _, c in self.waiting)]).astype(np.uint64)
+        # Value and count in one number: a plain sort brings equal values together.
+        both = np.sort(values << np.uint64(32) | counts)
+        values = (both >> np.uint64(32)).astype(np.uint32)
+        begin = np.flatnonzero(np.diff(values, prepend=values[:1] ^ np.uint32(1)))
+        sums = np.add.reduceat(both & np.uint64(0xFFFFFFFF), begin) if len(both) else both
+        values, counts = values[begin], np.minimum(sums, MOST).astype(np.uint32)
         self.waiting, self.held = [], 0
         if len(values) > self.capacity:
-            least = int(np.partition(counts, len(counts) - self.capacity - 1)[len(counts) - self.capacity - 1])
-            counts -= least
-            self.lost += least
-            values, counts = values[counts > 0], counts[counts > 0]
+            place = len(values) - self.capacity - 1
+            least = np.partition(counts, place)[place]
+            self.lost += int(least)
+            left = counts > least
+            values, counts = values[left], counts[left] - least
         self.values, self.counts = values, counts
 
     def survivors(self, threshold: int) -> np.ndarray:
         """Every value of at least ``threshold`` occurrences, and some of fewer."""
         self.settle()
-        return self.values[self.counts + self.lost >= threshold]
+        return self.values[self.counts.astype(np.int64) + self.lost >= threshold]
 
 
 def _slice(low: np.ndarray, size: int) -> bytes:
@@ -202,31 +240,27 @@ def _summarised(threshold: int, size: int):
                     continue
                 if summary is None:
                     summary = Summary(mass // threshold + 1)
-                ones = np.frombuffer(row["ones"], np.uint32)
-                summary.add(ones, np.ones(len(ones), np.int64))
-                summary.add(np.frombuffer(row["more"], np.uint32), np.frombuffer(row["counts"], np.int64))
+                ones = _unsqueezed(row["ones"], row["n_ones"])
+                summary.add(ones, np.ones(len(ones), np.uint32))
+                summary.add(_unsqueezed(row["more"], row["n_more"]), np.frombuffer(row["counts"], np.uint32))
         if summary is not None:
             yield finished()
 
     return work
 
 
-def survivors(
-    texts: DataFrame, sizes: tuple[int, ...], known: bytes | None, threshold: int, power: int, bits_power: int, flush: int
-) -> bytes:
-    """The map of phrases of these sizes that may have ``threshold`` occurrences, those of ``known`` words only.
+def survivors(texts: DataFrame, longest: int, threshold: int, power: int, bits_power: int, flush: int) -> bytes:
+    """The map of phrases of up to ``longest`` words that may have ``threshold`` occurrences.
 
     One shuffle of packed counters by hash partition, each of which gives its slice of the map; the slices,
     ``2 ** bits_power`` bits in all, come to the driver.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if known is None else np.frombuffer(known, np.uint8)
         waiting, held = [], 0
         for words, codes, *_ in _texts(batches):
-            good = None if bits is None else _set(bits, words.phrases(1, codes, np.arange(len(words.start))))
-            for n in sizes:
-                waiting.append(words.phrases(n, codes, words.whole(n, good)))
+            for n in range(1, longest + 1):
+                waiting.append(words.phrases(n, codes, words.whole(n)))
                 held += len(waiting[-1])
             if held > flush:
                 yield _packed(np.concatenate(waiting), power)
@@ -234,7 +268,8 @@ def survivors(
         if held:
             yield _packed(np.concatenate(waiting), power)
 
-    counted = texts.mapInArrow(work, "part long, kind int, mass long, ones binary, more binary, counts binary")
+    types = ("long", "int", "long", "long", "binary", "long", "binary", "binary")
+    counted = texts.mapInArrow(work, ", ".join(f"{n} {t}" for n, t in zip(_PACKED, types, strict=True)))
     # Masses come before counters.
     dealt = counted.repartition("part").sortWithinPartitions("part", "kind")
     found = dealt.mapInArrow(_summarised(threshold, bits_power - power), "part long, bits binary")
@@ -246,34 +281,84 @@ def survivors(
     return bytes(whole)
 
 
-def phrase_counts(texts: DataFrame, bits: bytes, longest: int) -> DataFrame:
-    """``lang, size, phrase, a``: exact counts of the phrases whose bit is set; size 0 counts all words."""
+def _counted(held: list[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array, np.ndarray]], power: int) -> pa.RecordBatch:
+    """Equal phrases of some steps added up: one row per hash partition, with lists of phrases."""
+    hashes, counts, sizes = (np.concatenate([h[i] for h in held]) for i in (0, 1, 4))
+    langs, phrases = (pa.chunked_array([h[i] for h in held]).combine_chunks() for i in (2, 3))
+    order = np.argsort(hashes)
+    begin = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order][:1]))
+    sums = np.add.reduceat(counts[order], begin)
+    first = order[begin]
+    parts = list(_parts(hashes[first], power))
+    offsets = pa.array([0] + [b for _, _, b in parts], pa.int32())
+    lists = [langs.take(pa.array(first)), pa.array(sizes[first], pa.int32()), phrases.take(pa.array(first)).cast(pa.string()), pa.array(sums, pa.int64())]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([p for p, _, _ in parts], pa.int64()), *(pa.ListArray.from_arrays(offsets, x) for x in lists)], ["part", *_COUNTED]
+    )
+
+
+def _added(threshold: int):
+    """Adds up the blocks of each hash partition; phrases of fewer occurrences end here."""
+
+    def added(blocks: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(blocks).group_by(_COUNTED[:3]).aggregate([("a", "sum")]).select([*_COUNTED[:3], "a_sum"]).rename_columns(_COUNTED)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blocks, rows = None, [], 0
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            yield from added(blocks).filter(pc.field("a") >= threshold).to_batches()
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                own = batch.column(0)[row].as_py()
+                if own != part:
+                    if blocks:
+                        yield from finished()
+                    part, blocks, rows = own, [], 0
+                blocks.append(pa.table([batch.column(i)[row].values for i in range(1, 5)], names=_COUNTED))
+                rows += blocks[-1].num_rows
+                if rows > 4 * blocks[0].num_rows + MERGED:
+                    blocks = [added(blocks)]
+                    rows = blocks[0].num_rows
+        if blocks:
+            yield from finished()
+
+    return work
+
+
+def phrase_counts(texts: DataFrame, bits: bytes, longest: int, threshold: int, power: int, flush: int) -> DataFrame:
+    """``lang, size, phrase, a``: the phrases with at least ``threshold`` occurrences whose bit is set, counted exactly.
+
+    Size 0 counts all words of a language. Tasks add up equal phrases and send them as blocks by hash partition.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(bits, np.uint8)
+        held, count = [], 0
         for words, codes, langs, own in _texts(batches):
-            langs = langs.to_pylist()
-            rows: list[tuple[str, int, str, int]] = []
-            for k, n in zip(*np.unique(own[words.row], return_counts=True), strict=True):
-                rows.append((langs[k], 0, "", int(n)))
-            good = None
+            names = langs.cast(pa.string())
+            which, totals = np.unique(own[words.row], return_counts=True)
+            of_lang = np.zeros(len(names), np.uint64)
+            of_lang[own] = codes
+            held.append((of_lang[which], totals, names.take(pa.array(which)), pa.array([""] * len(which), pa.large_string()), np.zeros(len(which), np.int32)))
             for n in range(1, longest + 1):
-                at = words.whole(n, good)
+                at = words.whole(n)
                 hashes = words.phrases(n, codes, at)
-                held = _set(known, hashes)
-                if n == 1:
-                    good = held
-                at, hashes = at[held], hashes[held]
-                _, place, counts = np.unique(hashes, return_index=True, return_counts=True)
-                rows.extend(
-                    (langs[own[words.row[i]]], n, words.text(n, i), c) for i, c in zip(at[place].tolist(), counts.tolist(), strict=True)
-                )
-            columns = zip(*rows, strict=True) if rows else [()] * 4
-            types = (pa.string(), pa.int32(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "size", "phrase", "a"])
-
-    counts = texts.mapInArrow(work, "lang string, size int, phrase string, a long")
-    return counts.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
+                marked = _set(known, hashes)
+                hashes, place, counts = np.unique(hashes[marked], return_index=True, return_counts=True)
+                at = at[marked][place]
+                held.append((hashes, counts, names.take(pa.array(own[words.row[at]])), words.texts(n, at), np.full(len(at), n, np.int32)))
+                count += len(at)
+            if count > flush:
+                yield _counted(held, power)
+                held, count = [], 0
+        if held:
+            yield _counted(held, power)
+
+    lists = "part long, lang array<string>, size array<int>, phrase array<string>, a array<long>"
+    dealt = texts.mapInArrow(work, lists).repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(_added(threshold), "lang string, size int, phrase string, a long")
 
 
 def collocations(
@@ -295,12 +380,10 @@ def collocations(
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # A slice of the map has a whole byte at least.
     power = min(max(LEAST, (size // PARTITION_BYTES).bit_length()), bits_power - 3)
-    words = survivors(texts, (1,), None, threshold, power, bits_power, flush)
-    longer = survivors(texts, tuple(range(2, longest + 1)), words, threshold, power, bits_power, flush)
-    bits = (np.frombuffer(words, np.uint8) | np.frombuffer(longer, np.uint8)).tobytes()
-    counted = _stored(phrase_counts(texts, bits, longest).where(F.col("a") >= threshold), "phrases")
+    bits = survivors(texts, longest, threshold, power, bits_power, flush)
+    counted = _stored(phrase_counts(texts, bits, longest, threshold, power, flush // 4), "phrases")
     # One row per language; a language of fewer words has no phrase.
-    totals = counted.where("size = 0").select(F.col("lang").alias("_lang"), F.col("a").alias("n"))
+    totals = broadcast_if_small(counted.where("size = 0").select(F.col("lang").alias("_lang"), F.col("a").alias("n")))
 
     parts = F.split("phrase", " ")
     cuts = F.transform(
