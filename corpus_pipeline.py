@@ -3,6 +3,10 @@ documents go, secrets are masked, and the sources are mixed to target weights.
 
 Each stage is a function of ``(spark, docs, sf_dir)``; :func:`run` writes what it returns and reads it again as
 the next one's documents, so that a lost executor costs no earlier stage.
+
+Stages keep all columns, whatever they are named. A null or empty text is clean and has no near-duplicate, passage or
+secret, so it stays up to the mix, where it has no words. Rows with a null id are kept like others. Of repeated rows
+one stays, unless the text has no words; of documents that tie as keepers of a group, one. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -55,6 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, over the documents, labels and benchmark below ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
