@@ -1,8 +1,8 @@
-"""MinHash near-duplicates: an LSH forest proposes, full shingle sets decide.
+"""MinHash near-duplicates: banded signatures propose, full shingle sets decide.
 
-Each distinct shingle set gets several trees, each an order of its own MinHash values. Sets that share a prefix in
-a tree's sorted order form a region; the prefix is as deep as the similarity allows and there are as many trees
-as it takes to meet each similar pair but for one in :data:`MISSED`. In a region, neighbours whose whole
+Each distinct shingle set gets several keys, each a hash of as many of its MinHash values as the similarity allows;
+there are as many keys as it takes to meet each similar pair but for one in :data:`MISSED`. Sets that share a key form
+a region. In a region, neighbours whose whole
 signatures agree enough become candidates; a spanning forest of them leaves the task, never all pairs. Large
 regions are cut into blocks and worked on block pair by block pair. Candidates' components are clusters, inside
 which the full sets are compared exactly; what they confirm gives the final components.
