@@ -5,6 +5,10 @@ model, and kept in the worker's table of counts; the documents' pre-token freque
 table and summed. The table is emptied when it holds ``TABLE_ROWS`` pre-tokens, so its memory is bounded
 and counts never change. A table shared by all tasks would be a shuffle of every document's distinct
 pre-tokens, several times the input.
+
+Runs of characters whose classes no Unicode version disputes are cut by a pattern, texts with any other
+character by the tokenizer's own pre-tokenizer; both go into the same frequencies. Special strings are cut out
+first and count as one token each.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ PLAIN = regex.compile("[\\t\\n\\r\\x20-\\x7e\\xa0-\\u024f]*+")
 
 
 class PieceCounter:
-    """Counts of pieces per pre-token for one tokenizer file."""
+    """Counts of pieces per pre-token for one byte-level tokenizer file without a normaliser."""
 
     def __init__(self, path: str):
         self.path, self.tokenizer, self.table = path, None, {}
@@ -38,20 +42,30 @@ class PieceCounter:
             self.tokenizer = Tokenizer.from_file(self.path)
             self.tokenizer.no_padding()
             self.tokenizer.no_truncation()
-            self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            added = self.tokenizer.get_added_tokens_decoder().values()
+            if self.tokenizer.normalizer is not None or any(t.lstrip or t.rstrip or t.single_word for t in added):
+                raise ValueError(f"{self.path} normalises texts or joins added tokens to their surroundings")
+            strings = sorted((t.content for t in added if t.content), key=len, reverse=True)
+            self.special = regex.compile("|".join(map(regex.escape, strings))) if strings else None
+
+    def frequencies(self, text: str) -> tuple[Counter[str], int]:
+        """The text's pre-tokens and the number of special strings between them."""
+        parts = self.special.split(text) if self.special else [text]
+        found: Counter[str] = Counter()
+        for part in parts:
+            if PLAIN.fullmatch(part):
+                found.update(PRE_TOKEN.findall(part))
+            else:
+                found.update(part[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(part))
+        return found, len(parts) - 1
 
     def counts(self, texts: list[str | None]) -> Iterator[int]:
         self.open()
         frequencies, sums = [], []
         for text in texts:
-            text = text or ""
-            if any(s in text for s in self.special) or not PLAIN.fullmatch(text):
-                # Special strings and unusual characters: the library cuts the text itself.
-                frequencies.append({})
-                sums.append(len(self.tokenizer.encode(text, add_special_tokens=False).ids))
-            else:
-                frequencies.append(Counter(PRE_TOKEN.findall(text)))
-                sums.append(0)
+            frequency, special = self.frequencies(text or "")
+            frequencies.append(frequency)
+            sums.append(special)
             if len(frequencies) == 256:
                 yield from self._joined(frequencies, sums)
                 frequencies, sums = [], []
