@@ -4,18 +4,21 @@ Words are runs of letters, digits and non-ASCII characters, with A-Z lower-cased
 its windows of ten consecutive words (a shorter one is a single window). A text is normalised byte for byte,
 scanned once, and each occurrence is mapped back to the words and bytes of the original text.
 
-The automaton of one block holds at most ``BLOCK_BYTES`` of pattern text. A larger benchmark is worked
-through in blocks, one after the other over each batch of documents, so memory stays bounded.
+The benchmark's texts are broadcast, measured while they are gathered, and each Python worker builds the
+automaton once. An automaton holds at most ``BLOCK_BYTES`` of pattern text; a larger benchmark is several
+automata, of which a worker holds one at a time and takes it over ``PASS_BYTES`` of documents before the next.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,9 @@ WINDOW = 10
 #: Pattern text of one automaton; about 40 times as much memory.
 BLOCK_BYTES = 2_000_000
 
+#: Text of documents that one of several automata is taken over before the next one is built.
+PASS_BYTES = 32_000_000
+
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -72,38 +78,71 @@ def word_spans(text: bytes) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+#: The automaton that this Python worker built last, and which one it is.
+_last: tuple[tuple[str, int] | None, ahocorasick.Automaton | None] = (None, None)
+
+
 class Scanner:
-    """The automata of all blocks, built once per Python worker and call."""
-
-    def __init__(self, blocks: list[list[tuple[int, str]]], size: int):
-        self.blocks, self.size, self.built = blocks, size, None
-
-    def scan(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, set[int]]]:
-        """Per text: number of words, which of them are hit, and the items found."""
-        if self.built is None and len(self.blocks) == 1:
-            self.built = [automaton(self.blocks[0], self.size)]
-        state = [[0, None, set()] for _ in texts]
-        encoded = [(t or "").encode() for t in texts]
-        for built in self.built or (automaton(b, self.size) for b in self.blocks):
-            for kept, text in zip(state, encoded, strict=True):
-                kept[0], hits = occurrences(text, built) if len(built) else (len(normalised(text).split()), [])
-                if hits:
-                    marks = np.zeros(kept[0] + 1, np.int64)
-                    for first, n, ids in hits:
-                        marks[first] += 1
-                        marks[first + n] -= 1
-                        kept[2] |= ids
-                    hit = np.cumsum(marks[:-1]) > 0
-                    kept[1] = hit if kept[1] is None else kept[1] | hit
-        for n, hit, ids in state:
-            yield n, np.zeros(n, bool) if hit is None else hit, ids
+    """Scans batches of texts with the automata of all blocks."""
+
+    def __init__(self, blocks: list[Broadcast], size: int):
+        self.blocks, self.size, self.name = blocks, size, uuid.uuid4().hex
+
+    def automaton(self, block: int) -> ahocorasick.Automaton:
+        global _last
+        if _last[0] != (self.name, block):
+            _last = (None, None)  # frees the one before
+            _last = ((self.name, block), automaton(self.blocks[block].value, self.size))
+        return _last[1]
+
+    def passes(self, batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[pa.RecordBatch]]:
+        """The batches in groups: one each for a single automaton, else of about ``PASS_BYTES``."""
+        group, held = [], 0
+        for batch in batches:
+            group.append(batch)
+            held += batch.column(column).nbytes
+            if len(self.blocks) == 1 or held >= PASS_BYTES:
+                yield group
+                group, held = [], 0
+        if group:
+            yield group
+
+    def scan(self, batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, np.ndarray | None, set[int]]]]]:
+        """Each batch with, per text: number of words, which of them are hit (None: none), and the items found."""
+        for group in self.passes(batches, column):
+            encoded = [[(t or "").encode() for t in batch.column(column).to_pylist()] for batch in group]
+            state = [[[0, None, set()] for _ in texts] for texts in encoded]
+            for block in range(len(self.blocks)):
+                built = self.automaton(block)
+                for texts, kept in zip(encoded, state, strict=True):
+                    for text, found in zip(texts, kept, strict=True):
+                        self.add(found, text, built)
+            yield from zip(group, state, strict=True)
+
+    @staticmethod
+    def add(found: list, text: bytes, built: ahocorasick.Automaton) -> None:
+        found[0], hits = occurrences(text, built) if len(built) else (len(normalised(text).split()), [])
+        if not hits:
+            return
+        marks = np.zeros(found[0] + 1, np.int64)
+        for first, n, ids in hits:
+            marks[first] += 1
+            marks[first + n] -= 1
+            found[2] |= ids
+        hit = np.cumsum(marks[:-1]) > 0
+        found[1] = hit if found[1] is None else found[1] | hit
+
+
+def scanner(benchmark: DataFrame, size: int) -> Scanner:
+    context = benchmark.sparkSession.sparkContext
+    return Scanner([context.broadcast(block) for block in benchmark_blocks(benchmark, size=size)], size)
 
 
 def benchmark_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES, size: int = WINDOW) -> list[list[tuple[int, str]]]:
     """The benchmark's items in blocks of bounded pattern text. Items without id or words are left out.
 
-    The benchmark is the stated query set; it streams through the driver row by row, and each of its texts
-    is kept once.
+    The benchmark is the stated query set; its rows stream through the driver and are kept once. There is always
+    at least one block.
     """
     blocks: list[list[tuple[int, str]]] = [[]]
     room = most
@@ -126,19 +165,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW
     Null and empty texts have no words and are never hit; repeated rows are scanned each; an empty
     benchmark hits nothing. Item ids that repeat count once.
     """
-    scanner = Scanner(benchmark_blocks(benchmark, size=size), size)
+    scan = scanner(benchmark, size).scan
 
     def work(batches):
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
+        for batch, found in scan(batches, 1):
             rows = []
-            for text, (n, hit, ids) in zip(texts, scanner.scan(texts), strict=True):
+            for text, (n, hit, ids) in zip(batch.column(1), found, strict=True):
                 spans = []
-                if hit.any():
+                if hit is not None:
                     edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).reshape(-1, 2)
-                    at = word_spans(text.encode())
+                    at = word_spans(text.as_py().encode())
                     spans = [{"start": int(at[a, 0]), "end": int(at[b - 1, 1])} for a, b in edges]
-                rows.append((n, int(hit.sum()), sorted(map(str, ids)), spans))
+                rows.append((n, 0 if hit is None else int(hit.sum()), sorted(map(str, ids)), spans))
             n, hits, ids, spans = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -158,13 +196,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents, all columns, in which no benchmark window occurs."""
-    scanner = Scanner(benchmark_blocks(benchmark, size=size), size)
+    scan = scanner(benchmark, size).scan
     place = documents.columns.index("text")
 
     def work(batches):
-        for batch in batches:
-            texts = batch.column(place).to_pylist()
-            yield batch.filter(pa.array([not ids for _, _, ids in scanner.scan(texts)], pa.bool_()))
+        for batch, found in scan(batches, place):
+            yield batch.filter(pa.array([not ids for _, _, ids in found], pa.bool_()))
 
     return documents.mapInArrow(work, documents.schema)
 
