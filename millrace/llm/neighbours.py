@@ -183,8 +183,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int
     asked = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("role"), "vec_id", "v")
     # A shard holds about ``shard_rows`` vectors, whatever their values are.
     dealt = base.unionByName(asked).select(F.size("v").alias("length"), "*")
-    # A shard is few bytes and much work: a fixed number of partitions, which Spark doesn't merge by size.
-    dealt = dealt.repartition(4 * shards, "length", "shard").sortWithinPartitions("length", "shard", "role", "vec_id")
+    # A shard is few bytes and much work: a partition of its own, where hashed shards would share some and leave others empty.
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("length", "shard", "role", "vec_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard_key, waiting, shard = None, [], None
