@@ -4,7 +4,7 @@ A window is a string of ``length`` bytes. Each window chooses one anchor: the po
 fingerprint among its first ``WINDOW`` positions, where a fingerprint covers the following
 ``length - WINDOW + 1`` bytes (its core), so the core lies inside the window. Equal windows choose equal cores.
 The suffixes that start at anchors are the ones indexed: a batch of documents gets an array of their cores,
-sorted by fingerprint; a new array is merge-scanned with the levels there are, and levels of one rank merge into
+sorted by fingerprint; a new array is merge-scanned against the levels there are, and levels of one rank merge into
 the next, so that each suffix is rewritten a logarithmic number of times. Cores met once end here.
 
 Windows that follow one another with one anchor form a run. Runs over equal bytes are repeated as a whole. What is
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import contextlib
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ from millrace.session import scratch_path
 LENGTH = 400
 WINDOW = 180
 #: Batches that the documents are indexed in.
-BATCHES = 2
+BATCHES = 5
 #: Open runs and witnesses of a core in one task, on average.
 GROUP_RUNS = 4_000
 
@@ -119,36 +120,60 @@ def suffix_entries(documents: DataFrame, length: int = LENGTH, window: int = WIN
 
 
 class SuffixLevels:
-    """The family: each level is a stored array of cores with their numbers of suffixes, sorted by core."""
+    """The family: each level is a stored array of cores with their numbers of suffixes, sorted by core.
+
+    An array is a table cut into buckets by a hash of the core. Scans and merges join two of them bucket by bucket, as
+    sorted runs, without a shuffle. A table is dropped from the catalog when it is merged or the family closed; its files lie in the
+    shared scratch folder.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.levels: list[tuple[int, str]] = []
+        self.found: list[str] = []
+        # As many as the grouping has partitions, so that a bucket is one file.
+        self.buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+
+    def _store(self, array: DataFrame, rank: int) -> str:
+        name = f"suffixes_{uuid.uuid4().hex}"
+        path = scratch_path(self.spark, f"suffixes-{rank}")
+        array.write.bucketBy(self.buckets, "key").sortBy("key").option("path", path).format("parquet").saveAsTable(name)
+        return name
 
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.schema("key long, n long").parquet(path)
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE {name}")
 
     def add(self, entries: DataFrame) -> None:
-        """The batch's array, merged with the levels of its rank, then of the next, and stored once."""
-        rank, array = 0, entries.groupBy("key").agg(F.count("*").alias("n"))
+        """The batch's array, merge-scanned against each level, then merged with the level of its rank, the next, and so on."""
+        table = self.spark.table
+        rank, name = 0, self._store(entries.groupBy("key").agg(F.count("*").alias("n")), 0)
+        array = table(name)
+        found = array.where("n > 1").select("key")
+        for _, level in self.levels:
+            found = found.unionByName(array.join(table(level).hint("merge"), "key", "left_semi").select("key"))
+        path = scratch_path(self.spark, "matches")
+        found.write.parquet(path)
+        self.found.append(path)
         while self.levels and self.levels[-1][0] == rank:
-            array = array.unionByName(self._read(self.levels.pop()[1]))
+            old = self.levels.pop()[1]
+            one, two = table(old).withColumnRenamed("n", "n1"), table(name).withColumnRenamed("n", "n2")
+            both = one.join(two.hint("merge"), "key", "full_outer")
+            n = F.coalesce("n1", F.lit(0)) + F.coalesce("n2", F.lit(0))
             rank += 1
-        if rank:
-            array = array.groupBy("key").agg(F.sum("n").alias("n"))
-        path = scratch_path(self.spark, f"suffixes-{rank}")
-        array.sortWithinPartitions("key").write.parquet(path)
-        self.levels.append((rank, path))
+            merged = self._store(both.select("key", n.alias("n")), rank)
+            self._drop(old)
+            self._drop(name)
+            name = merged
+        self.levels.append((rank, name))
 
     def repeated(self) -> DataFrame:
-        """The cores of at least two suffixes, in one level or by a merge scan of several."""
-        tables = [self._read(path) for _, path in self.levels]
-        if len(tables) == 1:
-            return tables[0].where("n > 1").select("key")
-        union = tables[0]
-        for table in tables[1:]:
-            union = union.unionByName(table)
-        return union.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+        """The cores of at least two suffixes, as the scans found them."""
+        return self.spark.read.schema("key long").parquet(*self.found).distinct()
+
+    def close(self) -> None:
+        """Drops the levels; what the scans found stays readable."""
+        while self.levels:
+            self._drop(self.levels.pop()[1])
 
 
 def _compare(group: pa.Table, length: int, several: bool):
@@ -253,8 +278,11 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, window: int = WIN
     entries = suffix_entries(documents, length, window)
     entries = stored(entries.withColumn("batch", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(batches)).cast("int")), "runs", "batch")
     family = SuffixLevels(spark)
-    for batch in range(batches):
-        family.add(entries.where(F.col("batch") == batch))
+    try:
+        for batch in range(batches):
+            family.add(entries.where(F.col("batch") == batch))
+    finally:
+        family.close()
     candidates = stored(entries.drop("batch").join(family.repeated(), "key", "left_semi"), "candidates")
 
     # Runs over equal bytes; one of each stays to witness for the open ones.

@@ -325,9 +325,19 @@ def test_witnesses_are_dealt_too(spark, monkeypatch, tmp_path):
 def test_levels_merge_geometrically(spark):
     entries = lambda *keys: spark.createDataFrame([(k,) for k in keys], "key long")
     family = repeats.SuffixLevels(spark)
-    for batch in ((1, 2, 3), (3, 4), (5,), (6, 6), (1, 7)):
+    ranks = []
+    for batch in ((1, 2, 3), (3, 4), (5,), (6, 6), (1, 7), ()):
         family.add(entries(*batch))
-    assert [rank for rank, _ in family.levels] == [2, 0]
+        ranks.append([rank for rank, _ in family.levels])
+    assert ranks == [[0], [1], [1, 0], [2], [2, 0], [2, 1]]
+    stored = [sorted(map(tuple, spark.table(name).collect())) for _, name in family.levels]
+    assert stored == [[(1, 1), (2, 1), (3, 2), (4, 1), (5, 1), (6, 2)], [(1, 1), (7, 1)]]
+    names = [name for _, name in family.levels]
+    one, two = (spark.table(name) for name in names)
+    plan = one.join(two.hint("merge"), "key", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    family.close()
+    assert not any(spark.catalog.tableExists(name) for name in names)
     assert sorted(r["key"] for r in family.repeated().collect()) == [1, 3, 6]
 
 
