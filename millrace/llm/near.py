@@ -1,11 +1,13 @@
-"""MinHash near-duplicates: banded signatures propose, full shingle sets decide.
-
-Each distinct shingle set gets several keys, each a hash of as many of its MinHash values as the similarity allows;
-there are as many keys as it takes to meet each similar pair but for one in :data:`MISSED`. Sets that share a key form
-a region. In a region, neighbours whose whole
-signatures agree enough become candidates; a spanning forest of them leaves the task, never all pairs. Large
-regions are cut into blocks and worked on block pair by block pair. Candidates' components are clusters, inside
-which the full sets are compared exactly; what they confirm gives the final components.
+"""MinHash near-duplicates: an LSH forest proposes, full shingle sets decide.
+
+Each distinct shingle set has a place in several trees, each an order of its MinHash values. Sets that share a tree's first
+values, as many as the similarity allows, form a region; there are as many trees as it takes to meet each similar pair in
+one of them but for one in :data:`MISSED`. A small region is compared as a whole. A large one is sorted by its tree's order, where
+the longest common prefixes are those of neighbours, and cut into stretches of that order: it is as deep as it takes
+to make a stretch small. What that leaves apart in a large region is compared in blocks, each set outside the region's
+main component with all sets of other components, so that depth loses no link and a region of near-copies costs no more than
+its sort. Tasks send spanning forests, never all pairs. Candidates' components are clusters, in which the full sets are
+compared in the same way; what they confirm gives the final components.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +29,9 @@ from millrace.session import scratch_path
 MISSED = 1e-6
 #: Sets in a block of a region, and shingles in a block of a cluster.
 REGION_BLOCK = 600
-CLUSTER_BLOCK = 1_500_000
+CLUSTER_BLOCK = 250_000
 
-_GROUP = "region long, i int, j int, block int"
+_EDGES = "a long, b long"
 
 
 class Forest:
@@ -130,6 +132,10 @@ def signature_table(documents: DataFrame, size: int, forest: Forest) -> DataFram
     return by_batch(documents.select("doc_id", "text"), work, schema)
 
 
+def _together(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each (region, i, j), which stand together, as one batch."""
     key, waiting = None, []
@@ -140,17 +146,39 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if high == low:
                 continue
             if key != (own := (region[low], i[low], j[low])) and waiting:
-                yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                yield _together(waiting)
                 waiting = []
             key = own
             waiting.append(batch.slice(low, high - low))
     if waiting:
-        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+        yield _together(waiting)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of each (region, turn) in stretches of about ``block``; each begins with the last row of the one before."""
+    key, waiting, weight, fresh = None, [], 0, 0
+    for batch in batches:
+        low = 0
+        columns = (batch.column(c).to_pylist() for c in ("region", "turn", "weight"))
+        for at, (region, turn, size) in enumerate(zip(*columns, strict=True)):
+            if key != (region, turn) or (fresh and weight + size > block):
+                if at > low:
+                    waiting.append(batch.slice(low, at - low))
+                if waiting:
+                    yield _together(waiting)
+                last = waiting[-1].slice(waiting[-1].num_rows - 1) if waiting and key == (region, turn) else None
+                waiting, weight = ([], 0) if last is None else ([last], last.column("weight")[0].as_py())
+                key, low, fresh = (region, turn), at, 0
+            weight, fresh = weight + size, fresh + 1
+        if low < batch.num_rows:
+            waiting.append(batch.slice(low))
+    if waiting:
+        yield _together(waiting)
 
 
-def _linked(batches, links: Callable[[pa.RecordBatch], list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+def _linked(groups: Iterator[pa.RecordBatch], links: Callable[[pa.RecordBatch], list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
     found: list[tuple[int, int]] = []
-    for group in _groups(batches):
+    for group in groups:
         if group.num_rows > 1:
             found.extend(links(group))
         if len(found) > 10_000:
@@ -165,12 +193,14 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def forest_links(ids: np.ndarray, neighbours: Callable[[int], np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the graph in which row u has ``neighbours(u)``; asks no more once all is one."""
-    labels = np.arange(len(ids))
+def forest_links(
+    ids: np.ndarray, neighbours: Callable[[int], np.ndarray], component: np.ndarray, asks: np.ndarray
+) -> list[tuple[int, int]]:
+    """A spanning forest over components of the graph in which row u, if it asks, has ``neighbours(u)``; ends once all is one."""
+    names, labels = np.unique(component, return_inverse=True)
     out = []
-    left = len(ids)
-    for u in range(len(ids)):
+    left = len(names)
+    for u in np.flatnonzero(asks):
         if left == 1:
             break
         near = neighbours(u)
@@ -184,16 +214,20 @@ def forest_links(ids: np.ndarray, neighbours: Callable[[int], np.ndarray]) -> li
     return out
 
 
+def _flags(group: pa.RecordBatch) -> list[np.ndarray]:
+    return [group.column(name).to_numpy(zero_copy_only=False) for name in ("node", "component", "asks")]
+
+
 def similar_signatures(group: pa.RecordBatch, agree: int) -> list[tuple[int, int]]:
-    ids = group.column(4).to_numpy()
-    lines = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint8).reshape(len(ids), -1)
-    return forest_links(ids, lambda u: np.flatnonzero((lines == lines[u]).sum(axis=1) >= agree))
+    ids, component, asks = _flags(group)
+    lines = np.frombuffer(b"".join(group.column("payload").to_pylist()), np.uint8).reshape(len(ids), -1)
+    return forest_links(ids, lambda u: np.flatnonzero((lines == lines[u]).sum(axis=1) >= agree), component, asks)
 
 
 def similar_sets(group: pa.RecordBatch, size: int, part: int, whole: int) -> list[tuple[int, int]]:
     """Links of sets with ``whole * intersection >= part * union``."""
-    ids = group.column(4).to_numpy()
-    data, offsets = text_bytes(group.column(5))
+    ids, component, asks = _flags(group)
+    data, offsets = text_bytes(group.column("payload"))
     parts = [
         (hashes, np.diff(first))
         for low, high in steps(offsets)
@@ -202,7 +236,7 @@ def similar_sets(group: pa.RecordBatch, size: int, part: int, whole: int) -> lis
     hashes, sizes = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
     names, local = np.unique(hashes, return_inverse=True)
     some = np.flatnonzero(sizes)
-    ids, sizes = ids[some], sizes[some]
+    ids, component, asks, sizes = ids[some], component[some], asks[some], sizes[some]
     first = np.concatenate([[0], np.cumsum(sizes)])
     marked = np.zeros(len(names), np.int64)
 
@@ -218,14 +252,7 @@ def similar_sets(group: pa.RecordBatch, size: int, part: int, whole: int) -> lis
         marked[own] = 0
         return fit[whole * shared >= part * (sizes[fit] + sizes[u] - shared)]
 
-    return forest_links(ids, neighbours)
-
-
-def _blocked(rows: DataFrame, blocks) -> DataFrame:
-    """Each row of a region once for every pair of blocks that its own block is in."""
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    return forest_links(ids, neighbours, component, asks)
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -234,6 +261,59 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _region_components(
+    small: DataFrame, large: DataFrame | None, block: int, orders: list[Column], links: Callable[[pa.RecordBatch], list[tuple[int, int]]]
+) -> DataFrame:
+    """``node, component`` of all that ``links`` finds similar in one region, directly or through others.
+
+    Both tables have ``region, node, weight, payload``. The regions of ``small`` are compared whole, those of ``large``, which must
+    be stored, in stretches of about ``block`` of each order, and then by what that left apart.
+    """
+    alone = [F.col("node").alias("component"), F.lit(True).alias("asks")]
+    one = F.lit(0)
+    dealt = small.select("region", one.alias("i"), one.alias("j"), "node", "payload", *alone).repartition("region")
+    found = dealt.sortWithinPartitions("region", "node").mapInArrow(lambda batches: _linked(_groups(batches), links), _EDGES)
+    if large is None:
+        return _with_roots(components(found))
+
+    place = ["region", "turn", "label", "node"]
+    for turn, order in enumerate(orders):
+        line = large.select("region", F.lit(turn).alias("turn"), order.alias("label"), "node", "weight", "payload", *alone)
+        line = line.repartitionByRange(*place).sortWithinPartitions(*place)
+        found = found.unionByName(line.mapInArrow(lambda batches: _linked(_stretches(batches, block), links), _EDGES))
+    known = _stored(_with_roots(components(found)), "joined")
+
+    # What isn't in the main component of its region asks all others there.
+    own = known.select(F.col("node").alias("known"), "component")
+    placed = large.select("region", "node", "weight").join(own, F.col("node") == F.col("known"), "left")
+    placed = _stored(placed.select("region", "node", "weight", F.coalesce("component", "node").alias("component")), "placed")
+    parts = placed.groupBy("region", "component").agg(F.sum("weight").alias("part"))
+    regions = parts.groupBy("region").agg(F.max(F.struct("part", "component")).alias("main"), F.sum("part").alias("total"))
+    regions = regions.where("total > main.part").select(
+        "region",
+        F.col("main.component").alias("main"),
+        F.ceil(F.col("total") / block).cast("int").alias("blocks"),
+        F.ceil((F.col("total") - F.col("main.part")) / block).cast("int").alias("turns"),
+    )
+    regions = _stored(regions, "regions")
+    if regions.isEmpty():
+        return known
+    # Both sides of each join are stored, so that Spark can split a large region.
+    asked = _stored(placed.join(regions, "region").select("region", "node", "component", "main", "blocks", "turns"), "asked")
+    asked = asked.join(large.select("region", "node", "payload"), ["region", "node"]).withColumn("asks", F.col("component") != F.col("main"))
+    turn = F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int")
+    part = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    columns = ["region", "i", "j", "node", "payload", "component", "asks"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    answering = asked.withColumn("i", every("turns")).withColumn("j", part).withColumn("asks", F.lit(False))
+    asking = asked.where("asks").withColumn("i", turn).withColumn("j", every("blocks"))
+    dealt = answering.select(*columns).unionByName(asking.select(*columns)).repartition("region", "i", "j")
+    dealt = dealt.sortWithinPartitions("region", "i", "j", "node")
+    more = dealt.mapInArrow(lambda batches: _linked(_groups(batches), links), _EDGES)
+    stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return _with_roots(components(stars.unionByName(more)))
+
+
 def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[DataFrame, DataFrame]:
     """The signature table, and ``d1, d2, least, component_id, keeper`` of each distinct set.
 
@@ -251,29 +331,47 @@ def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[Da
     )
     sets = _stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
 
-    keyed = sets.select("node", F.explode("keys").alias("region"))
+    keyed = sets.select("node", F.posexplode("keys").alias("tree", "region"))
     # Stored, so that both sides of the next join are plain shuffles and Spark can split a large region.
     shared = _stored(keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1), "regions")
-    placed = keyed.join(shared, "region").join(sets.select("node", "signature"), "node")
-    dealt = _blocked(placed, F.ceil(F.col("members") / REGION_BLOCK).cast("int"))
-    dealt = dealt.select("region", "i", "j", "block", "node", "signature").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "node")
+
+    def placed(regions: DataFrame) -> DataFrame:
+        rows = keyed.join(regions, "region").join(sets.select("node", "signature"), "node")
+        return rows.select("region", "tree", "node", F.lit(1).cast("long").alias("weight"), F.col("signature").alias("payload"))
+
+    crowded = shared.where(F.col("members") > REGION_BLOCK)
+    large = None if crowded.isEmpty() else _stored(placed(crowded), "large")
+    # A tree's order begins with its own values and goes on with those of the trees after it.
+    before = F.col("tree") * forest.depth
+    order = F.concat(F.col("payload").substr(before + 1, F.lit(forest.hashes)), F.col("payload").substr(F.lit(1), before))
     agree = forest.agree
-    candidates = dealt.mapInArrow(lambda batches: _linked(batches, lambda g: similar_signatures(g, agree)), "a long, b long")
-    clusters = _stored(_with_roots(components(candidates)), "clusters")
+    clusters = _region_components(
+        placed(shared.where(F.col("members") <= REGION_BLOCK)), large, REGION_BLOCK, [order], lambda group: similar_signatures(group, agree)
+    )
+    clusters = _stored(clusters, "clusters")
 
-    members = clusters.join(sets.select("node", "n", "d1", "d2", "least"), "node")
-    weight = members.groupBy("component").agg(F.sum("n").alias("shingles"))
-    members = members.join(weight, "component").select("node", F.col("component").alias("region"), "shingles", "d1", "d2", "least")
+    members = clusters.join(sets.select("node", "n", "d1", "d2", "least", "signature"), "node")
+    weights = members.groupBy("component").agg((F.sum("n") > CLUSTER_BLOCK).alias("heavy"))
+    weights = _stored(weights, "weights")
+    members = members.join(weights, "component").withColumnRenamed("component", "region")
     # One text of each member; copies have other ids, and repeated rows are combined before the next shuffle.
     texts = with_digests(documents.select("doc_id", "text"), size)
     own = [F.col("__d1") == F.col("d1"), F.col("__d2") == F.col("d2"), F.col("doc_id").eqNullSafe(F.col("least"))]
-    texts = texts.join(members, own).groupBy("node", "region", "shingles").agg(F.first("text").alias("text"))
-    dealt = _blocked(texts, F.ceil(F.col("shingles") / CLUSTER_BLOCK).cast("int"))
-    dealt = dealt.select("region", "i", "j", "block", "node", "text").repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "node")
-    confirmed = dealt.mapInArrow(lambda batches: _linked(batches, lambda g: similar_sets(g, size, part, whole)), "a long, b long")
+    texts = texts.join(members, own).groupBy("node", "region", "heavy").agg(
+        F.first("n").alias("weight"), F.first("signature").alias("signature"), F.first("text").alias("payload")
+    )
+    large = None
+    if not weights.where("heavy").isEmpty():
+        texts = _stored(texts, "texts")
+        texts, large = texts.where(~F.col("heavy")), texts.where("heavy")
+    half = F.lit(forest.hashes // 2)
+    turned = F.concat(F.col("signature").substr(half + 1, F.lit(forest.hashes)), F.col("signature").substr(F.lit(1), half))
+    confirmed = _region_components(
+        texts, large, CLUSTER_BLOCK, [F.col("signature"), turned], lambda group: similar_sets(group, size, part, whole)
+    )
 
     known = sets.select("node", "d1", "d2", "least")
-    linked = _with_roots(components(confirmed)).join(known, "node")
+    linked = _stored(confirmed, "confirmed").join(known, "node")
     best = F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "d1", "d2")).alias("best")
     linked = linked.join(linked.groupBy("component").agg(best), "component")
     linked = linked.select(F.col("node").alias("linked"), "best")

@@ -561,6 +561,42 @@ def test_near_duplicates_with_null_and_shared_ids(spark):
     assert near.without_near_duplicates(df.limit(0)).collect() == []
 
 
+def test_stretches_of_an_order_hold_every_row_and_overlap():
+    arrow = __import__("pyarrow")
+    rows = [(1, 0, n, 1) for n in range(7)] + [(1, 1, n, 1) for n in range(3)] + [(2, 0, 0, 9), (2, 0, 1, 1), (2, 0, 2, 9)]
+    names = ["region", "turn", "node", "weight"]
+    for step in (1, 2, 5, 20):
+        batches = [arrow.RecordBatch.from_arrays([arrow.array(c) for c in zip(*rows[k : k + step])], names) for k in range(0, len(rows), step)]
+        found = [[tuple(r.values())[:3] for r in g.to_pylist()] for g in near._stretches(iter(batches), 3)]
+        assert found == [
+            [(1, 0, 0), (1, 0, 1), (1, 0, 2)], [(1, 0, 2), (1, 0, 3), (1, 0, 4)], [(1, 0, 4), (1, 0, 5), (1, 0, 6)],
+            [(1, 1, 0), (1, 1, 1), (1, 1, 2)],
+            [(2, 0, 0)], [(2, 0, 0), (2, 0, 1)], [(2, 0, 1), (2, 0, 2)],
+        ]
+
+
+def test_large_region_sends_each_set_once_but_for_strays(spark, monkeypatch, tmp_path):
+    """A region of near-copies of one text and a few others: rows grow with the copies, not with their square."""
+    monkeypatch.setattr(near, "REGION_BLOCK", 10)
+    monkeypatch.setattr(near, "CLUSTER_BLOCK", 800)
+    seen = near._groups
+
+    def watched(batches):
+        for group in seen(batches):
+            (tmp_path / uuid.uuid4().hex).write_text(str(group.num_rows))
+            yield group
+
+    monkeypatch.setattr(near, "_groups", watched)
+    rng = random.Random(5)
+    base = words(rng, 80).split()
+    texts = [" ".join([*base[:k], f"other{k}", *base[k + 1 :]]) for k in range(80)]
+    # Alike, but not enough: they share regions with the copies and stay apart.
+    texts += [" ".join([*base[:55], *words(rng, 25).split()]) for _ in range(3)]
+    found = by_id(near.near_duplicates(documents(spark, texts), 3, 85), "n_shingles", "component_id", "kept")
+    assert found == dict(enumerate(brute_components(texts, 3, 85)))
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) < 83 * 83
+
+
 def test_forest_misses_next_to_nothing():
     for similarity in (0.5, 0.8, 0.85, 0.95):
         forest = near.Forest(similarity)
