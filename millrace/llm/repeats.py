@@ -167,8 +167,11 @@ class SuffixLevels:
         self.levels.append((rank, name))
 
     def repeated(self) -> DataFrame:
-        """The cores of at least two suffixes, as the scans found them."""
-        return self.spark.read.schema("key long").parquet(*self.found).distinct()
+        """The cores of at least two suffixes, once for each scan that found them.
+
+        Plain stored rows: a join with them is one that Spark can split where a core is very frequent.
+        """
+        return self.spark.read.schema("key long").parquet(*self.found)
 
     def close(self) -> None:
         """Drops the levels; what the scans found stays readable."""
