@@ -20,6 +20,7 @@ from millrace.plans import compare, explain, jobs
 from millrace.session import scratch_path
 from millrace.sources import derived, files
 from millrace.streaming import feed as streams
+from millrace.streaming.marks import Marks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1181,24 +1182,51 @@ def stream_dedup_bounded(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(kept.schema).parquet(sink).select("message_id", "composite_hash")
 
 
-@registered(_FEED + _FIRST)
-def stream_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    """First arrival of every key in a table, from files that come in as two deliveries.
-
-    The stream is restarted from its checkpoint for the second.
-    """
+def _two_deliveries(spark: SparkSession, sf: str, path: str, filters: Marks | None = None) -> None:
+    """First arrivals to a table, from files that come in as two deliveries; the stream is restarted for the second."""
     rows = _feed(spark, sf).select(*_FEED_JSON.names)
     middle = F.lit(rows.agg(F.avg("arrival_index")).first()[0])
-    folder, path = scratch_path(spark, "deliveries"), scratch_path(spark, "stream-table")
-    state = scratch_path(spark, "stream-state")
+    folder, state = scratch_path(spark, "deliveries"), scratch_path(spark, "stream-state")
     early = F.coalesce(F.col("arrival_index") < middle, F.lit(False))
     for delivery in (early, ~early):
         rows.filter(delivery).write.mode("append").json(folder)
         stream = streams.read_message_stream(spark, folder, _FEED_JSON)
-        streams.first_arrival_stream(stream, path, state)
+        streams.first_arrival_stream(stream, path, state, marks=filters)
+
+
+@registered(_FEED + _FIRST)
+def stream_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """First arrival of every key in a table, from files that come in as two deliveries.
+
+    The stream is restarted from its checkpoint for the second.
+    """
+    path = scratch_path(spark, "stream-table")
+    _two_deliveries(spark, sf, path)
+    return table.read_table(spark, path).select(*_STORED)
+
+
+@registered(_FEED + _FIRST)
+def stream_first_arrivals_marked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, where Bloom filters beside the table tell which of its buckets to open."""
+    path = scratch_path(spark, "stream-table")
+    _two_deliveries(spark, sf, path, Marks(scratch_path(spark, "marks")))
     return table.read_table(spark, path).select(*_STORED)
 
 
+@registered(
+    _FEED
+    + """, half AS (SELECT message_id, sequence_id, partition_id,
+    min(arrival_index) < (SELECT avg(arrival_index) FROM feed) AS early,
+    max(arrival_index) >= (SELECT avg(arrival_index) FROM feed) AS late FROM feed GROUP BY ALL)
+    SELECT count(*) AS keys, count(*) FILTER (NOT early) AS new_keys FROM half WHERE late"""
+)
+def stream_marks_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of the second delivery and those that the table didn't hold, as the batch reports them."""
+    path, filters = scratch_path(spark, "stream-table"), Marks(scratch_path(spark, "marks"))
+    _two_deliveries(spark, sf, path, filters)
+    return filters.report(spark).select("keys", "new_keys")
+
+
 @registered(
     _FEED
     + """SELECT message_id, sequence_id, partition_id, arrival_index FROM feed

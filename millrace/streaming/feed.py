@@ -24,6 +24,7 @@ from millrace.operators.table import (
 )
 from millrace.schemas import MESSAGE
 from millrace.session import pin
+from millrace.streaming.marks import Marks
 
 EVENT_TIME = "event_time"
 SALT = "_salt"
@@ -193,6 +194,7 @@ def first_arrival_stream(
     order: Sequence[str] = ARRIVAL,
     by_date: bool = False,
     buckets: int = BUCKETS,
+    marks: Marks | None = None,
 ):
     """Append the first arrival of each new key to a versioned table.
 
@@ -204,9 +206,14 @@ def first_arrival_stream(
     With ``by_date`` the table is partitioned by the date of ``created_at`` instead, and a batch looks
     only into its own dates. A redelivery carries its message's ``created_at``, so it is still found;
     a key used again on another date counts as new.
+
+    With ``marks`` only buckets that may hold a key of the batch are opened: Bloom filters beside the table tell which keys
+    it can't hold, and the exact join decides about the rest.
     """
     keys = list(keys)
     dates = ["partition_date"] if by_date else []
+    if marks is not None and (by_date or list(marks.keys) != keys or marks.buckets != buckets):
+        raise ValueError("marks must have the keys and buckets of the table, which is not partitioned by date")
 
     def write(batch: DataFrame, writer: str, batch_id: int, found: Snapshot | None) -> None:
         spark = batch.sparkSession
@@ -214,8 +221,12 @@ def first_arrival_stream(
             batch = batch.withColumn("partition_date", epoch_date(F.col("created_at")))
         fresh = keep_first(batch, keys + dates, order).withColumn("composite_hash", composite_key(keys))
         if found is not None:
-            fresh = pin(fresh)
-            if by_date:
+            fresh = pin(fresh if marks is None else fresh.withColumn("_row", F.monotonically_increasing_id()))
+            if marks is not None:
+                marked = pin(marks.maybe_seen(fresh, path, found, writer))
+                fresh = marked.drop("_row", "_maybe")
+                table = rows_of_keys(marked.where("_maybe"), path, keys, found)
+            elif by_date:
                 # At most as many values as the batch has dates.
                 own = [row[0] for row in fresh.select(*dates).distinct().collect()]
                 known = F.col("partition_date").isin([d for d in own if d is not None])
@@ -223,8 +234,13 @@ def first_arrival_stream(
             else:
                 table = rows_of_keys(fresh, path, keys, found)
             fresh = pin(unseen(fresh, table, keys + dates))
+            if marks is not None:
+                marks.write_report(marked, fresh, batch_id)
             if fresh.isEmpty():
                 return
+        if marks is not None:
+            fresh = pin(fresh)
+            marks.add(fresh, 0 if found is None else found.version + 1)
         write_table(
             fresh,
             path,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators.dedup import eager_dedup
 from millrace.operators.table import history, read_table
 from millrace.streaming import feed as streams
+from millrace.streaming import marks as marking
 
 HOUR = 3600.0
 START = 1_700_000_000.0
@@ -119,6 +120,44 @@ def test_first_arrivals_by_date(spark, source, tmp_path):
     assert found.select("partition_date").distinct().count() == 3
 
 
+@pytest.mark.parametrize("fold", [1, 32])
+def test_first_arrivals_with_marks(spark, source, tmp_path, monkeypatch, fold):
+    """Marks name every key that the table holds; only buckets that may hold a key are opened."""
+    monkeypatch.setattr(marking, "FOLD_BATCHES", fold)
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    marks = marking.Marks.sized(str(tmp_path / "marks"), 10_000)
+    names = [f"k{n}" for n in range(40)]
+    source.add(*[message(n, 0, k) for k, n in enumerate(names)], message(None, 0, 90))
+    source.add(*[message(f"n{n}", 0, 100 + n) for n in range(30)])
+    source.add(message("k7", 0, 200), message(None, 0, 201), message("n3", 0, 202), message("x", 0, 203))
+    source.add(message("k7", 0, 300), message("x", 0, 301))
+    for _ in range(2):  # the second call restarts from the checkpoint and finds nothing
+        streams.first_arrival_stream(source.stream(spark), table, state, marks=marks)
+    expected = [*range(40), 90, *range(100, 130), 203]
+    assert sorted(r[0] for r in rows(read_table(spark, table), "arrival_index")) == expected
+    found = {r["batch_id"]: r for r in marks.report(spark).collect()}
+    assert [(found[b]["keys"], found[b]["new_keys"]) for b in (1, 2, 3)] == [(30, 30), (4, 1), (2, 0)]
+    # None of the new keys is taken for an old one in this sparse filter, so nothing is opened for them.
+    assert found[1]["buckets_opened"] <= 2 < found[1]["buckets_touched"]
+    assert found[2]["maybe_seen"] >= 3 and found[3]["maybe_seen"] == 2
+    bases = [p.name for p in (tmp_path / "marks").iterdir() if p.name.startswith("base-")]
+    assert bool(bases) == (fold == 1)
+
+
+def test_marks_are_made_anew_after_other_writers(spark, source, tmp_path):
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    marks = marking.Marks(str(tmp_path / "marks"))
+    source.add(message("a", 0, 1))
+    streams.first_arrival_stream(source.stream(spark), table, state, marks=marks)
+    other = read_table(spark, table).withColumn("message_id", F.lit("b"))
+    streams.write_table(other.withColumn("composite_hash", streams.composite_key(list(marks.keys))), table, bucket_by=list(marks.keys))
+    source.add(message("b", 0, 2), message("a", 0, 3), message("c", 0, 4))
+    streams.first_arrival_stream(source.stream(spark), table, state, marks=marks)
+    assert rows(read_table(spark, table), "message_id") == [("a",), ("b",), ("c",)]
+    with pytest.raises(ValueError):
+        streams.first_arrival_stream(source.stream(spark), table, state, marks=marks, by_date=True)
+
+
 def test_replayed_batch_is_not_written_twice(spark, source, tmp_path):
     table = str(tmp_path / "table")
     source.add(message("a", 0, 1))
