@@ -309,9 +309,15 @@ def _region_components(
     asking = asked.where("asks").withColumn("i", turn).withColumn("j", every("blocks"))
     dealt = answering.select(*columns).unionByName(asking.select(*columns)).repartition("region", "i", "j")
     dealt = dealt.sortWithinPartitions("region", "i", "j", "node")
-    more = dealt.mapInArrow(lambda batches: _linked(_groups(batches), links), _EDGES)
-    stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return _with_roots(components(stars.unionByName(more)))
+    more = _stored(dealt.mapInArrow(lambda batches: _linked(_groups(batches), links), _EDGES), "strays")
+    if more.isEmpty():
+        return known
+    # Components of the known ones, which are few against their sets.
+    for end in ("a", "b"):
+        more = more.join(own, F.col(end) == F.col("known"), "left").withColumn(end, F.coalesce("component", end)).select("a", "b")
+    wider = _with_roots(components(more))
+    moved = known.join(wider.select(F.col("node").alias("root"), F.col("component").alias("now")), F.col("component") == F.col("root"), "left")
+    return moved.select("node", F.coalesce("now", "component").alias("component")).unionByName(wider).distinct()
 
 
 def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[DataFrame, DataFrame]:
