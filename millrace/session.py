@@ -66,7 +66,8 @@ def scratch_root(spark: SparkSession) -> str:
         if local and spark.sparkContext.master.split("[")[0] not in ("local", "local-cluster"):
             logging.getLogger(__name__).warning("spark.checkpoint.dir is %s: it must be a mount that all executors share", shared)
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # Executors of local-cluster are other processes.
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="millrace-")
