@@ -21,9 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.components import components
+from millrace.llm.components import components, stored
 from millrace.llm.text import by_batch, mix, shingles, steps, text_bytes
-from millrace.session import scratch_path
 
 #: Chance that no tree brings a pair at the threshold together, and that its signatures disagree too much.
 MISSED = 1e-6
@@ -255,19 +254,18 @@ def similar_sets(group: pa.RecordBatch, size: int, part: int, whole: int) -> lis
     return forest_links(ids, neighbours, component, asks)
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _region_components(
-    small: DataFrame, large: DataFrame | None, block: int, orders: list[Column], links: Callable[[pa.RecordBatch], list[tuple[int, int]]]
+    small: DataFrame,
+    large: DataFrame | None,
+    block: int,
+    orders: list[Column],
+    links: Callable[[pa.RecordBatch], list[tuple[int, int]]],
+    nodes: int,
 ) -> DataFrame:
     """``node, component`` of all that ``links`` finds similar in one region, directly or through others.
 
     Both tables have ``region, node, weight, payload``. The regions of ``small`` are compared whole, those of ``large``, which must
-    be stored, in stretches of about ``block`` of each order, and then by what that left apart.
+    be stored, in stretches of about ``block`` of each order, and then by what that left apart. ``nodes`` bounds the number of nodes.
     """
     alone = [F.col("node").alias("component"), F.lit(True).alias("asks")]
     one = F.lit(0)
@@ -281,12 +279,12 @@ def _region_components(
         line = large.select("region", F.lit(turn).alias("turn"), order.alias("label"), "node", "weight", "payload", *alone)
         line = line.repartitionByRange(*place).sortWithinPartitions(*place)
         found = found.unionByName(line.mapInArrow(lambda batches: _linked(_stretches(batches, block), links), _EDGES))
-    known = _stored(_with_roots(components(found)), "joined")
+    known = stored(_with_roots(components(found)), "joined", nodes)
 
     # What isn't in the main component of its region asks all others there.
     own = known.select(F.col("node").alias("known"), "component")
     placed = large.select("region", "node", "weight").join(own, F.col("node") == F.col("known"), "left")
-    placed = _stored(placed.select("region", "node", "weight", F.coalesce("component", "node").alias("component")), "placed")
+    placed = stored(placed.select("region", "node", "weight", F.coalesce("component", "node").alias("component")), "placed")
     parts = placed.groupBy("region", "component").agg(F.sum("weight").alias("part"))
     regions = parts.groupBy("region").agg(F.max(F.struct("part", "component")).alias("main"), F.sum("part").alias("total"))
     regions = regions.where("total > main.part").select(
@@ -295,11 +293,11 @@ def _region_components(
         F.ceil(F.col("total") / block).cast("int").alias("blocks"),
         F.ceil((F.col("total") - F.col("main.part")) / block).cast("int").alias("turns"),
     )
-    regions = _stored(regions, "regions")
+    regions = stored(regions, "regions", large.count())
     if regions.isEmpty():
         return known
     # Both sides of each join are stored, so that Spark can split a large region.
-    asked = _stored(placed.join(regions, "region").select("region", "node", "component", "main", "blocks", "turns"), "asked")
+    asked = stored(placed.join(regions, "region").select("region", "node", "component", "main", "blocks", "turns"), "asked")
     asked = asked.join(large.select("region", "node", "payload"), ["region", "node"]).withColumn("asks", F.col("component") != F.col("main"))
     turn = F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int")
     part = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -309,7 +307,7 @@ def _region_components(
     asking = asked.where("asks").withColumn("i", turn).withColumn("j", every("blocks"))
     dealt = answering.select(*columns).unionByName(asking.select(*columns)).repartition("region", "i", "j")
     dealt = dealt.sortWithinPartitions("region", "i", "j", "node")
-    more = _stored(dealt.mapInArrow(lambda batches: _linked(_groups(batches), links), _EDGES), "strays")
+    more = stored(dealt.mapInArrow(lambda batches: _linked(_groups(batches), links), _EDGES), "strays")
     if more.isEmpty():
         return known
     # Components of the known ones, which are few against their sets.
@@ -327,7 +325,7 @@ def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[Da
     of the smallest id, or of the smallest digests where no document of the component has an id.
     """
     forest = Forest(part / whole)
-    table = _stored(signature_table(documents, size, forest), "signatures")
+    table = stored(signature_table(documents, size, forest), "signatures")
     # Exact copies, however many, are one set from here on; they are combined before the shuffle. A set is known by a
     # number of its own, given once, when the sets are stored: ids may be null, or used for several texts.
     sets = (
@@ -335,30 +333,36 @@ def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[Da
         .groupBy("d1", "d2")
         .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
     )
-    sets = _stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
+    sets = stored(sets.withColumn("node", F.monotonically_increasing_id()), "sets", table.count())
+    nodes = sets.count()
 
     keyed = sets.select("node", F.posexplode("keys").alias("tree", "region"))
     # Stored, so that both sides of the next join are plain shuffles and Spark can split a large region.
-    shared = _stored(keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1), "regions")
+    shared = stored(keyed.groupBy("region").agg(F.count("*").alias("members")).where(F.col("members") > 1), "regions", nodes * forest.trees // 2)
 
     def placed(regions: DataFrame) -> DataFrame:
         rows = keyed.join(regions, "region").join(sets.select("node", "signature"), "node")
         return rows.select("region", "tree", "node", F.lit(1).cast("long").alias("weight"), F.col("signature").alias("payload"))
 
     crowded = shared.where(F.col("members") > REGION_BLOCK)
-    large = None if crowded.isEmpty() else _stored(placed(crowded), "large")
+    large = None if crowded.isEmpty() else stored(placed(crowded), "large", nodes * forest.trees)
     # A tree's order begins with its own values and goes on with those of the trees after it.
     before = F.col("tree") * forest.depth
     order = F.concat(F.col("payload").substr(before + 1, F.lit(forest.hashes)), F.col("payload").substr(F.lit(1), before))
     agree = forest.agree
     clusters = _region_components(
-        placed(shared.where(F.col("members") <= REGION_BLOCK)), large, REGION_BLOCK, [order], lambda group: similar_signatures(group, agree)
+        placed(shared.where(F.col("members") <= REGION_BLOCK)),
+        large,
+        REGION_BLOCK,
+        [order],
+        lambda group: similar_signatures(group, agree),
+        nodes,
     )
-    clusters = _stored(clusters, "clusters")
+    clusters = stored(clusters, "clusters", nodes)
 
     members = clusters.join(sets.select("node", "n", "d1", "d2", "least", "signature"), "node")
     weights = members.groupBy("component").agg((F.sum("n") > CLUSTER_BLOCK).alias("heavy"))
-    weights = _stored(weights, "weights")
+    weights = stored(weights, "weights", nodes)
     members = members.join(weights, "component").withColumnRenamed("component", "region")
     # One text of each member; copies have other ids, and repeated rows are combined before the next shuffle.
     texts = with_digests(documents.select("doc_id", "text"), size)
@@ -368,16 +372,16 @@ def _classes(documents: DataFrame, size: int, part: int, whole: int) -> tuple[Da
     )
     large = None
     if not weights.where("heavy").isEmpty():
-        texts = _stored(texts, "texts")
+        texts = stored(texts, "texts")
         texts, large = texts.where(~F.col("heavy")), texts.where("heavy")
     half = F.lit(forest.hashes // 2)
     turned = F.concat(F.col("signature").substr(half + 1, F.lit(forest.hashes)), F.col("signature").substr(F.lit(1), half))
     confirmed = _region_components(
-        texts, large, CLUSTER_BLOCK, [F.col("signature"), turned], lambda group: similar_sets(group, size, part, whole)
+        texts, large, CLUSTER_BLOCK, [F.col("signature"), turned], lambda group: similar_sets(group, size, part, whole), nodes
     )
 
     known = sets.select("node", "d1", "d2", "least")
-    linked = _stored(confirmed, "confirmed").join(known, "node")
+    linked = stored(confirmed, "confirmed", nodes).join(known, "node")
     best = F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "d1", "d2")).alias("best")
     linked = linked.join(linked.groupBy("component").agg(best), "component")
     linked = linked.select(F.col("node").alias("linked"), "best")

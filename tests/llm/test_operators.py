@@ -597,6 +597,27 @@ def test_large_region_sends_each_set_once_but_for_strays(spark, monkeypatch, tmp
     assert sum(int(f.read_text()) for f in tmp_path.iterdir()) < 83 * 83
 
 
+def test_small_tables_of_the_rounds_are_few_files(spark, monkeypatch):
+    """Many shuffle partitions of a few links don't make a file each; the components stay."""
+    from millrace.llm import components
+
+    made, store = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, *rest: made.append(store(df, *rest)) or made[-1])
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        links = [(i, i + 1) for i in range(300) if i % 100 != 99]
+        found = {tuple(r) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == {(i, i - i % 100) for i in range(300) if i % 100}
+    # The first holds the links before they are counted.
+    assert max(len(df.inputFiles()) for df in made[1:]) <= spark.sparkContext.defaultParallelism
+
+
 def test_forest_misses_next_to_nothing():
     for similarity in (0.5, 0.8, 0.85, 0.95):
         forest = near.Forest(similarity)
