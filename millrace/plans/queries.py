@@ -435,14 +435,17 @@ def compacted_mean(spark: SparkSession, sf: str) -> DataFrame:
     true AS fewer_files, true AS large_untouched"""
 )
 def packed_small_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys of line items in one commit and of orders in thirty small ones: packing rewrites the small ones alone."""
+    """Keys of line items in one commit and of orders in a few of smaller files: packing rewrites the small ones alone."""
     path = scratch_path(spark, "packing")
-    table.write_table(_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_shipdate").alias("at")).coalesce(1), path)
-    large = table.table_size(spark, path).first()["live_bytes"]
+    table.write_table(_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_shipdate").alias("at")), path)
+    size = table.live_files(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("length").alias("largest")).first()
+    large = size["bytes"]
     for batch in _order_batches(spark, sf):
-        table.write_table(batch.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("at")), path)
-    # Of more than half this size the large commit is left alone.
-    done = packing.pack_small(spark, path, target_bytes=2 * large - 1)
+        # As many files as the large commit has, and so smaller ones.
+        orders = batch.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("at")).repartition(size["files"])
+        table.write_table(orders, path)
+    # Of a file of more than half this size the large commit is left alone; a packed file grows with that file, not with the table.
+    done = packing.pack_small(spark, path, target_bytes=2 * size["largest"] - 1)
     rows = table.read_table(spark, path).agg(F.count(F.lit(1)).alias("row_count"), F.sum("key").alias("key_sum"))
     return rows.withColumns(
         {"fewer_files": F.lit(done.files_after < done.files_before), "large_untouched": F.lit(done.bytes_untouched == large)}

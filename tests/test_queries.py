@@ -65,3 +65,36 @@ def test_layout_queries_write_in_parallel(spark, sf_dir, duck, monkeypatch):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert parts[0] > 1 and len(set(names)) > 1
+
+
+def test_packed_small_files_in_many_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """With many splits of the input no file of the large commit, and no packed one, holds a whole table."""
+    from pyarrow import parquet
+    from millrace.operators import packing, table
+
+    own = duckdb.connect()
+    for name, step in (("lineitem", 300), ("orders", 300)):
+        parquet.write_table(parquet.read_table(f"{sf_dir}/{name}.parquet"), tmp_path / f"{name}.parquet", row_group_size=step)
+        own.execute(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet'")
+    done, listed = [], []
+    pack = packing.pack_small
+
+    def watched(session, path, target_bytes):
+        before = [r["path"] for r in table.live_files(session, path).collect()]
+        done.append(pack(session, path, target_bytes))
+        after = [r["path"] for r in table.live_files(session, path).collect()]
+        listed.append((len([f for f in before if "commit=0-" in f]), len([f for f in after if f not in before])))
+        return done[-1]
+
+    monkeypatch.setattr(packing, "pack_small", watched)
+    settings = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        test_query_matches_sql(spark, str(tmp_path), own, "packed_small_files")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    (large, packed), = listed
+    assert large > 4 and packed > 1 and done[0].files_after < done[0].files_before
